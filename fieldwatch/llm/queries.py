@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from fieldwatch.llm import quality, simhash
+from fieldwatch.llm import bpe, packing, quality, simhash, substring
 from fieldwatch.llm.common import table
 
 
@@ -18,9 +19,24 @@ def op4_simhash_tiles(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op7_sum_of_squares_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
+def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring.removal_report(table(spark, sf_dir, "documents"))
+
+
+def op9_chunked_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe.encode_digests(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_rule_ledger": op3_rule_ledger,
     "op4_simhash_tiles": op4_simhash_tiles,
+    "op7_sum_of_squares_packing": op7_sum_of_squares_packing,
+    "op8_substring_dedup": op8_substring_dedup,
+    "op9_chunked_bpe": op9_chunked_bpe,
 }
 
 ORACLE_SQL: dict[str, str] = {
