@@ -27,6 +27,8 @@ from fieldwatch.llm.graph import components
 
 SEED = 42
 STEP = 1 << 16
+#: Pairs compared at once.
+CELLS = 1 << 21
 
 
 def fingerprint(text: str | None, shingle: int = 4) -> int:
@@ -103,16 +105,18 @@ def compare_tiles(a: np.ndarray, b: np.ndarray | None, radius: int) -> tuple[np.
         if not len(near):
             continue
         places = np.concatenate([np.arange(cut_b[j], cut_b[j + 1]) for j in near])
-        for k in range(cut_a[i], cut_a[i + 1], 512):
-            mine = sorted_a[k : min(k + 512, cut_a[i + 1])]
-            x, y = np.nonzero(np.bitwise_count(mine[:, None] ^ sorted_b[places][None, :]) <= radius)
+        theirs = sorted_b[places]
+        rows = max(1, CELLS // len(theirs))
+        for k in range(cut_a[i], cut_a[i + 1], rows):
+            mine = sorted_a[k : min(k + rows, cut_a[i + 1])]
+            x, y = np.nonzero(np.bitwise_count(mine[:, None] ^ theirs[None, :]) <= radius)
             if len(x):
                 forest.link(order_a[x + k], base + order_b[places[y]])
     moved = np.flatnonzero(forest.label != np.arange(len(both)))
     return both[moved], both[forest.label[moved]]
 
 
-def links(classes: DataFrame, radius: int = 4, tile: int = 4096) -> DataFrame:
+def links(classes: DataFrame, radius: int = 4, tile: int = 1 << 16) -> DataFrame:
     """(a, b) edges between distinct fingerprints (column fp) that connect all that lie within radius of each other."""
     bits = F.bit_count("fp")
     # 65 counts at most reach the driver
@@ -145,7 +149,7 @@ def links(classes: DataFrame, radius: int = 4, tile: int = 4096) -> DataFrame:
     return pairs.groupBy("left", "right").applyInPandas(compare, "a long, b long")
 
 
-def near_duplicates(docs: DataFrame, radius: int = 4, shingle: int = 4, tile: int = 4096, salts: int = 8) -> DataFrame:
+def near_duplicates(docs: DataFrame, radius: int = 4, shingle: int = 4, tile: int = 1 << 16, salts: int = 8) -> DataFrame:
     """doc_id, fingerprint (16 hexadecimal digits) and component_id, the smallest doc_id that links of at most radius bits reach.
 
     Shuffled: one row a distinct fingerprint and map task, the tiles, and twice a pair of longs a document.
