@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from fieldwatch.llm import bpe, packing, quality, simhash, substring
+from fieldwatch.llm import bpe, packing, pii, quality, simhash, substring
 from fieldwatch.llm.common import table
 
 
@@ -31,12 +31,21 @@ def op9_chunked_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode_digests(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
 
 
+#: A deployment passes its own secret; this one makes the registered query repeatable.
+SURROGATE_KEY = b"a registered query's public key"
+
+
+def op10_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.surrogate_report(table(spark, sf_dir, "documents"), SURROGATE_KEY)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_rule_ledger": op3_rule_ledger,
     "op4_simhash_tiles": op4_simhash_tiles,
     "op7_sum_of_squares_packing": op7_sum_of_squares_packing,
     "op8_substring_dedup": op8_substring_dedup,
     "op9_chunked_bpe": op9_chunked_bpe,
+    "op10_surrogates": op10_surrogates,
 }
 
 ORACLE_SQL: dict[str, str] = {
