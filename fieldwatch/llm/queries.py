@@ -7,10 +7,18 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from fieldwatch.llm import bpe, packing, pii, quality, simhash, substring
+from fieldwatch.llm import bpe, html_text, packing, pii, quality, simhash, substring, warc
 from fieldwatch.llm.common import table
 
 
+def op1_warc_bundles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.round_trip(spark, table(spark, sf_dir, "pages"))
+
+
+def op2_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.extract(table(spark, sf_dir, "pages"))
+
+
 def op3_rule_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality_report(table(spark, sf_dir, "documents"))
 
@@ -40,6 +48,8 @@ def op10_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_warc_bundles": op1_warc_bundles,
+    "op2_main_text": op2_main_text,
     "op3_rule_ledger": op3_rule_ledger,
     "op4_simhash_tiles": op4_simhash_tiles,
     "op7_sum_of_squares_packing": op7_sum_of_squares_packing,
