@@ -77,7 +77,7 @@ class Bundle:
     def __init__(self, folder: str, level: int) -> None:
         self.path = f"{folder}/{uuid.uuid4().hex}.warc.zst"
         fs, path = filesystem(self.path)
-        self.file = fs.open_output_stream(path)
+        self.file = fs.open_output_stream(path, compression=None)
         self.compressor = zstandard.ZstdCompressor(level=level, write_checksum=True, write_content_size=True)
         self.frames: list[tuple[int, int]] = []
         self.size = 0
