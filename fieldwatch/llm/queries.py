@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from fieldwatch.llm import bpe, html_text, packing, pii, quality, simhash, substring, warc
+from fieldwatch.llm import bpe, covertree, html_text, packing, pii, quality, simhash, substring, toxicity, warc
 from fieldwatch.llm.common import table
 
 
@@ -27,6 +27,14 @@ def op4_simhash_tiles(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op5_cover_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return covertree.top_k(table(spark, sf_dir, "embeddings"))
+
+
+def op6_toxic_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op7_sum_of_squares_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
@@ -52,6 +60,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_main_text": op2_main_text,
     "op3_rule_ledger": op3_rule_ledger,
     "op4_simhash_tiles": op4_simhash_tiles,
+    "op5_cover_trees": op5_cover_trees,
+    "op6_toxic_neighbours": op6_toxic_neighbours,
     "op7_sum_of_squares_packing": op7_sum_of_squares_packing,
     "op8_substring_dedup": op8_substring_dedup,
     "op9_chunked_bpe": op9_chunked_bpe,
@@ -60,4 +70,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 
 ORACLE_SQL: dict[str, str] = {
     "op3_rule_ledger": quality.REPORT_SQL,
+    "op5_cover_trees": covertree.TOP_K_SQL,
 }
