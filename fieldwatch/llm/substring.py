@@ -4,10 +4,14 @@ A window is ``width`` consecutive words of one document. Pass one: every task no
 cells of the document's window anchors (an anchor is the least hash of the ``inner``-word runs inside a window, so equal
 windows have equal anchors and neighbours mostly share one); the tasks' sketches are sent as sorted cell lists and merged by
 cell range. A cell counts documents and never too few. Pass two: windows whose cell counts two documents or more, and only
-those, are grouped exactly by a 128-bit hash; a window that a smaller doc_id holds is repeated. No repeated window is lost at any
+those, are grouped exactly by a 96-bit hash; a window that a smaller doc_id holds is repeated. No repeated window is lost at any
 sketch size: a small sketch only lets more windows into pass two.
 
-The merged sketch is one bit a cell (``2 ** sketch_bits`` cells: 32 MB by default, whatever the input), which bounds what the driver
+Windows whose cell counts fewer than ``hot`` documents are shuffled once, sorted, and told apart in one sweep; a key has fewer than
+``hot`` documents there. Windows of fuller cells take their least doc_id by a grouped minimum, combined before the shuffle, and a join whose
+hot keys adaptive execution splits. Both ways give the same answer.
+
+The merged sketch is two bits a cell (``2 ** sketch_bits`` cells: 64 MB by default, whatever the input), which bounds what the driver
 collects and broadcasts. Texts are shuffled once, to meet their removals.
 
 Defined results: a null text has no words. Rows with a null doc_id neither lose nor cause removals. Rows that repeat a doc_id are told
@@ -93,95 +97,120 @@ def _unpacked(data: bytes, chunks: int) -> np.ndarray:
     return (np.repeat(np.arange(chunks, dtype=np.int64), counts) << CHUNK_BITS) + np.frombuffer(data, np.uint16, offset=4 * chunks)
 
 
-def merged_sketch(docs: DataFrame, width: int, inner: int, bits: int) -> np.ndarray:
-    """One bit a cell: at least two documents have an anchor there."""
+def merged_sketch(docs: DataFrame, width: int, inner: int, bits: int, hot: int) -> np.ndarray:
+    """Two bits a cell, in two rows of bytes: at least two, and at least ``hot``, documents have an anchor there."""
     size = (1 << bits) // GROUPS
     chunks = size >> CHUNK_BITS
 
     def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cache, seen, pending, held = WordHashes(), [], [], 0
+        cache, pending, held = WordHashes(), [], 0
+        cells, counts = np.empty(0, np.int64), np.empty(0, np.int64)
 
         def folded() -> tuple[np.ndarray, np.ndarray]:
-            cells, counts = np.unique(np.concatenate([*pending, *[x for pair in seen for x in (pair[0], pair[1])]]), return_counts=True)
-            return cells, cells[counts > 1]
+            new, n = np.unique(np.concatenate(pending), return_counts=True) if pending else (cells[:0], counts[:0])
+            both, at = np.unique(np.concatenate([cells, new]), return_inverse=True)
+            return both, np.bincount(at, np.concatenate([counts, n]), minlength=len(both)).astype(np.int64)
 
         for batch in batches:
             for x in batch.column(0):
                 words = _encoded(x.as_py()).split()
                 if len(words) >= width:
                     hashes = np.fromiter(map(cache.__getitem__, words), np.uint64, len(words))
-                    cells = np.unique(_cells(window_hashes(hashes, width, inner)[2], bits))
-                    pending.append(cells)
-                    held += len(cells)
-            if held > 1 << 22:
-                seen, pending, held = [folded()], [], 0
-        if not pending and not seen:
-            return
-        cells, often = folded()
+                    mine = np.unique(_cells(window_hashes(hashes, width, inner)[2], bits))
+                    pending.append(mine)
+                    held += len(mine)
+            if held > 1 << 21:
+                cells, counts = folded()
+                pending, held = [], 0
+        cells, counts = folded()
+        often = counts > 1
         bounds = np.arange(GROUPS + 1) * size
-        once_at, often_at = np.searchsorted(cells, bounds), np.searchsorted(often, bounds)
-        rows = [
-            (g, _packed(cells[once_at[g] : once_at[g + 1]], g * size, chunks), _packed(often[often_at[g] : often_at[g + 1]], g * size, chunks))
-            for g in range(GROUPS)
-            if once_at[g + 1] > once_at[g]
-        ]
-        for g, once, twice in rows:
-            yield pa.RecordBatch.from_arrays([pa.array([g], pa.int32()), pa.array([once], pa.binary()), pa.array([twice], pa.binary())], names=["g", "once", "twice"])
+        for g in range(GROUPS):
+            mine = slice(*np.searchsorted(cells, bounds[g : g + 2]).tolist())
+            if mine.start < mine.stop:
+                many = often[mine]
+                row = (_packed(cells[mine], g * size, chunks), _packed(cells[mine][many], g * size, chunks), np.minimum(counts[mine][many] - 1, 0xFFFF).astype(np.uint16).tobytes())
+                yield pa.RecordBatch.from_arrays([pa.array([g], pa.int32()), *(pa.array([r], pa.binary()) for r in row)], names=["g", "cells", "again", "more"])
 
     def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts: dict[int, np.ndarray] = {}
         for batch in batches:
-            for g, once, twice in zip(*(batch.column(k).to_pylist() for k in range(3)), strict=True):
-                at = counts.setdefault(g, np.zeros(size, np.uint8))
-                for data in (once, twice):
-                    cells = _unpacked(data, chunks)
-                    at[cells] = np.minimum(at[cells] + 1, 2)
+            for g, cells, again, more in zip(*(batch.column(k).to_pylist() for k in range(4)), strict=True):
+                at = counts.setdefault(g, np.zeros(size, np.uint16))
+                for data, n in ((cells, 1), (again, np.frombuffer(more, np.uint16))):
+                    places = _unpacked(data, chunks)
+                    at[places] = np.minimum(at[places].astype(np.uint32) + n, 0xFFFF)
         for g, at in counts.items():
-            yield pa.RecordBatch.from_arrays([pa.array([g], pa.int32()), pa.array([np.packbits(at > 1).tobytes()], pa.binary())], names=["g", "bits"])
-
-    sketches = docs.filter("doc_id IS NOT NULL").select("text").mapInArrow(sketch, "g int, once binary, twice binary")
-    merged = sketches.repartition(GROUPS, "g").mapInArrow(merge, "g int, bits binary")
-    out = np.zeros((GROUPS, size // 8), np.uint8)
-    for g, data in merged.toLocalIterator():  # GROUPS rows of a fixed size
-        out[g] = np.frombuffer(data, np.uint8)
-    return out.reshape(-1)
-
-
-def repeated_starts(docs: DataFrame, width: int = 13, inner: int = 8, sketch_bits: int = 28) -> DataFrame:
+            planes = [np.packbits(at >= least).tobytes() for least in (2, hot)]
+            yield pa.RecordBatch.from_arrays([pa.array([g], pa.int32()), *(pa.array([x], pa.binary()) for x in planes)], names=["g", "some", "many"])
+
+    sketches = docs.filter("doc_id IS NOT NULL").select("text").mapInArrow(sketch, "g int, cells binary, again binary, more binary")
+    merged = sketches.repartition(GROUPS, "g").mapInArrow(merge, "g int, some binary, many binary")
+    out = np.zeros((2, GROUPS, size // 8), np.uint8)
+    for g, some, many in merged.toLocalIterator():  # GROUPS rows of a fixed size
+        out[0, g], out[1, g] = np.frombuffer(some, np.uint8), np.frombuffer(many, np.uint8)
+    return out.reshape(2, -1)
+
+
+def _later(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Of rows sorted by key and doc_id: those whose doc_id is above the key's first."""
+    key, first = None, 0
+    for batch in batches:
+        h, k, doc, at, mark = (batch.column(c).to_numpy() for c in range(5))
+        if not len(h):
+            continue
+        new = np.concatenate(([key != (h[0], k[0])], (h[1:] != h[:-1]) | (k[1:] != k[:-1])))
+        starts = np.flatnonzero(new)
+        firsts = np.concatenate(([first], doc[starts]))[np.cumsum(new)]
+        repeated = doc > firsts
+        key, first = (h[-1], k[-1]), firsts[-1]
+        if repeated.any():
+            yield pa.RecordBatch.from_arrays([pa.array(x[repeated]) for x in (doc, mark, at)], names=["doc_id", "mark", "at"])
+
+
+def repeated_starts(docs: DataFrame, width: int = 13, inner: int = 8, sketch_bits: int = 28, hot: int = 4096) -> DataFrame:
     """(doc_id, mark, starts): the sorted places of the windows that a document with a smaller doc_id also has. mark: a hash of the text."""
-    sketch = docs.sparkSession.sparkContext.broadcast(merged_sketch(docs, width, inner, sketch_bits))
+    sketch = docs.sparkSession.sparkContext.broadcast(merged_sketch(docs, width, inner, sketch_bits, hot))
+    rows = docs.filter("doc_id IS NOT NULL").select(F.col("doc_id").cast("long"), F.hash("text").alias("mark"), "text")
 
-    def suspects(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cache, bitmap = WordHashes(), sketch.value
-        names = ["doc_id", "mark", "at", "h", "k"]
-        for batch in batches:
-            parts, held = [], 0
+    def suspects(fuller: bool):
+        """The windows of cells with two documents or more, either below or from the hot count on."""
+
+        def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            cache, (some, many) = WordHashes(), sketch.value
+            names = ["h", "k", "doc_id", "at", "mark"]
 
             def flushed(parts: list) -> pa.RecordBatch:
                 return pa.RecordBatch.from_arrays([pa.array(np.concatenate([p[j] for p in parts])) for j in range(5)], names=names)
 
-            for doc_id, mark, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2), strict=True):
-                words = _encoded(text.as_py()).split()
-                if len(words) < width:
-                    continue
-                hashes = np.fromiter(map(cache.__getitem__, words), np.uint64, len(words))
-                h, k, anchors = window_hashes(hashes, width, inner)
-                cells = _cells(anchors, sketch_bits)
-                at = np.flatnonzero(bitmap[cells >> 3] & (128 >> (cells & 7)).astype(np.uint8))
-                if len(at):
-                    parts.append((np.full(len(at), doc_id, np.int64), np.full(len(at), mark, np.int32), at.astype(np.int32), h[at].view(np.int64), k[at].view(np.int64)))
-                    held += len(at)
-                if held > 1 << 18:
+            for batch in batches:
+                parts, held = [], 0
+                for doc_id, mark, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2), strict=True):
+                    words = _encoded(text.as_py()).split()
+                    if len(words) < width:
+                        continue
+                    hashes = np.fromiter(map(cache.__getitem__, words), np.uint64, len(words))
+                    h, k, anchors = window_hashes(hashes, width, inner)
+                    cells = _cells(anchors, sketch_bits)
+                    byte, bit = cells >> 3, (128 >> (cells & 7)).astype(np.uint8)
+                    at = np.flatnonzero(many[byte] & bit if fuller else some[byte] & ~many[byte] & bit)
+                    if len(at):
+                        parts.append((h[at].view(np.int64), (k[at] >> np.uint64(32)).astype(np.uint32).view(np.int32), np.full(len(at), doc_id, np.int64), at.astype(np.int32), np.full(len(at), mark, np.int32)))
+                        held += len(at)
+                    if held > 1 << 18:
+                        yield flushed(parts)
+                        parts, held = [], 0
+                if parts:
                     yield flushed(parts)
-                    parts, held = [], 0
-            if parts:
-                yield flushed(parts)
 
-    rows = docs.filter("doc_id IS NOT NULL").select(F.col("doc_id").cast("long"), F.hash("text").alias("mark"), "text")
-    windows = rows.mapInArrow(suspects, "doc_id long, mark int, at int, h long, k long")
-    first = windows.groupBy("h", "k").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last")).filter("first < last")
-    first = checkpointed(first.select("h", "k", "first"))  # its own exchange, so that a hot window's rows can be split
-    later = windows.join(first, ["h", "k"]).filter("doc_id > first")
+        return rows.mapInArrow(each, "h long, k int, doc_id long, at int, mark int")
+
+    later = suspects(fuller=False).repartition("h").sortWithinPartitions("h", "k", "doc_id").mapInArrow(_later, "doc_id long, mark int, at int")
+    if sketch.value[1].any():
+        windows = suspects(fuller=True)
+        first = windows.groupBy("h", "k").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last")).filter("first < last")
+        first = checkpointed(first.select("h", "k", "first"))  # its own exchange, so that a hot window's rows can be split
+        later = later.unionByName(windows.join(first, ["h", "k"]).filter("doc_id > first").select("doc_id", "mark", "at"))
     return later.groupBy("doc_id", "mark").agg(F.array_sort(F.collect_set("at")).alias("starts"))
 
 
