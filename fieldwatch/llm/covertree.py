@@ -50,7 +50,7 @@ def cover_tree(points: np.ndarray, places: np.ndarray | None = None, radius: flo
     if len(places) <= LEAF or node.radius == 0:
         return node
     reach = node.radius / 2 if radius is None else min(radius / 2, node.radius / 2)
-    nearest, owner, most = apart, np.zeros(len(places), np.int64), max(2, len(places) // 8)
+    nearest, owner, most = apart, np.zeros(len(places), np.int64), max(len(places) // 8, min(len(places) // 2, 512))
     centres = 1
     while True:
         far = int(np.argmax(nearest))
@@ -94,12 +94,12 @@ class Search:
         elif not q.children and not d.children:
             for k in range(0, len(d.places), 1024):
                 self.compare(q.places, d.places[k : k + 1024])
-        elif d.children and (not q.children or d.radius >= q.radius):
-            for child in sorted(d.children, key=lambda c: -self.bound(q, c)):
-                self.visit(q, child)
-        else:
+        elif q.children:  # queries first, so that each group meets the data in its own best order
             for child in q.children:
                 self.visit(child, d)
+        else:
+            for child in sorted(d.children, key=lambda c: -self.bound(q, c)):
+                self.visit(q, child)
 
 
 def top_k(vectors: DataFrame, every: int = 100, k: int = 10, scale: int = 1024, data_block: int = 8192, query_block: int = 2048) -> DataFrame:

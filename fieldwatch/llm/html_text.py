@@ -1,7 +1,7 @@
 """Main text of web pages by the maximum-scoring contiguous run.
 
 A page is read as a run of words and tags. A word scores by where it stands: the log-odds, fitted on labelled pages, that a word
-with this innermost landmark element, these class and id names around it, and inside a link or not, is content. A tag scores
+with these landmark elements, class and id names around it, and inside a link or not, is content. A tag scores
 negative, the more the less its kind occurs in content. One linear scan finds the run with the largest sum; of it, the words with
 positive scores are the text, so adverts inside an article go. Pages are handled where they are read; nothing is shuffled.
 
@@ -32,6 +32,9 @@ BLOCKS = frozenset("address article aside blockquote body caption dd details div
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 SILENT = frozenset("script style head title noscript template textarea select option button iframe object svg math".split())
 LANDMARKS = frozenset("article main nav header footer aside form".split())
+CUT_TAG = re.compile(r"<[A-Za-z/!?][^<>]*$")
+"""A tag that the page's end cuts off."""
+HOMES = frozenset(("<article>", "<main>"))
 LIMIT = 3.0
 
 
@@ -47,13 +50,8 @@ class Tokens(HTMLParser):
 
     def place(self) -> frozenset[str]:
         if self._place is None:
-            found, landmark = set(), None
-            for tag, names in reversed(self.stack):
-                landmark = landmark or (tag if tag in LANDMARKS else None)
-                found |= names
-                if tag == "a":
-                    found.add("link")
-            self._place = frozenset(found | {f"<{landmark}>"} if landmark else found)
+            found = {f"<{tag}>" for tag, _ in self.stack if tag in LANDMARKS}.union(*(names for _, names in self.stack))
+            self._place = frozenset(found | {"link"} if any(tag == "a" for tag, _ in self.stack) else found)
         return self._place
 
     def handle_starttag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
@@ -99,7 +97,7 @@ class Tokens(HTMLParser):
 
 def tokens(html: str) -> list[tuple[frozenset[str] | str, int, str, int]]:
     reader = Tokens()
-    reader.feed(html)
+    reader.feed(CUT_TAG.sub("", html))
     reader.close()
     return reader.out
 
@@ -111,6 +109,11 @@ class Weights:
         self.features, self.bias, self.tags = features, bias, tags
         self.known: dict[frozenset[str], float] = {}
 
+    def in_run(self, kind: frozenset[str] | str) -> float:
+        """What a word or tag adds to a run. Words of inserts inside an article are left out of the text, so they don't part what stands around them."""
+        score = self.of(kind)
+        return 0.0 if score < 0 and not isinstance(kind, str) and not HOMES.isdisjoint(kind) else score
+
     def of(self, kind: frozenset[str] | str) -> float:
         if isinstance(kind, str):
             return self.tags.get(kind, -0.1)
@@ -166,7 +169,7 @@ def main_text(html: str | None, weights: Weights) -> str:
     if not html:
         return ""
     run = tokens(html)
-    scores = [weights.of(kind) * (1 if isinstance(kind, str) else n) for kind, n, _, _ in run]
+    scores = [weights.in_run(kind) * (1 if isinstance(kind, str) else n) for kind, n, _, _ in run]
     start, end = best_run(scores)
     blocks: dict[int, list[str]] = {}
     for kind, n, text, block in run[start:end]:
