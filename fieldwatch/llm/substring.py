@@ -8,7 +8,7 @@ those, are grouped exactly by a 96-bit hash; a window that a smaller doc_id hold
 sketch size: a small sketch only lets more windows into pass two.
 
 Windows whose cell counts fewer than ``hot`` documents are shuffled once, sorted, and told apart in one sweep; a key has fewer than
-``hot`` documents there. Windows of fuller cells take their least doc_id by a grouped minimum, combined before the shuffle, and a join whose
+``hot`` documents there (65,535, the sketch's largest count; a sorted task holds many times as many rows). Windows of fuller cells take their least doc_id by a grouped minimum, combined before the shuffle, and a join whose
 hot keys adaptive execution splits. Both ways give the same answer.
 
 The merged sketch is two bits a cell (``2 ** sketch_bits`` cells: 64 MB by default, whatever the input), which bounds what the driver
@@ -168,7 +168,7 @@ def _later(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([pa.array(x[repeated]) for x in (doc, mark, at)], names=["doc_id", "mark", "at"])
 
 
-def repeated_starts(docs: DataFrame, width: int = 13, inner: int = 8, sketch_bits: int = 28, hot: int = 4096) -> DataFrame:
+def repeated_starts(docs: DataFrame, width: int = 13, inner: int = 8, sketch_bits: int = 28, hot: int = 0xFFFF) -> DataFrame:
     """(doc_id, mark, starts): the sorted places of the windows that a document with a smaller doc_id also has. mark: a hash of the text."""
     sketch = docs.sparkSession.sparkContext.broadcast(merged_sketch(docs, width, inner, sketch_bits, hot))
     rows = docs.filter("doc_id IS NOT NULL").select(F.col("doc_id").cast("long"), F.hash("text").alias("mark"), "text")
