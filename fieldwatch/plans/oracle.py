@@ -90,7 +90,8 @@ def _windows(profile: str, key: str, size: int, least: bool) -> str:
   {"min(methane_ppm) AS min_methane, " if least else ""}count(*) AS reading_count, (timestamp // {size}) * {size} + {size} AS window_end FROM w GROUP BY timestamp // {size}, {key}"""
 
 
-DAILY = f"""WITH {_wells("slow")} SELECT (timestamp // 86400000) * 86400000 AS window_start, facility_id, round(avg(methane_ppm), 6) AS avg_methane, max(methane_ppm) AS max_methane, count(*) AS reading_count,
+#: Eight places: means of a power of two of readings with two decimals end in ...5 at six.
+DAILY = f"""WITH {_wells("slow")} SELECT (timestamp // 86400000) * 86400000 AS window_start, facility_id, round(avg(methane_ppm), 8) AS avg_methane, max(methane_ppm) AS max_methane, count(*) AS reading_count,
   count(DISTINCT well_id) AS well_count, (timestamp // 86400000) * 86400000 + 86400000 AS window_end FROM w GROUP BY timestamp // 86400000, facility_id"""
 HISTORY = f"""{_pump("mixed")}, r AS (SELECT well_id, timestamp AS ts, n, pump_health_index AS phi, failure_mode FROM a),
 gp AS (SELECT *, CASE WHEN ts - lag(ts) OVER (PARTITION BY well_id ORDER BY ts, n) < 3600000 THEN 0 ELSE 1 END AS gap FROM r),

@@ -152,7 +152,7 @@ def ldar_hourly_compliance(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def facility_daily_emissions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _rounded(compliance.facility_daily(_wells(spark, sf_dir, "slow")), "avg_methane")
+    return _rounded(compliance.facility_daily(_wells(spark, sf_dir, "slow")), "avg_methane", places=8)
 
 
 def retained_compliance(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -268,7 +268,7 @@ def stream_ldar_hourly(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stream_facility_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _rounded(streams.facility_daily(spark, sf_dir), "avg_methane")
+    return _rounded(streams.facility_daily(spark, sf_dir), "avg_methane", places=8)
 
 
 def stream_pump_alarms(spark: SparkSession, sf_dir: str) -> DataFrame:
