@@ -5,11 +5,14 @@ IPv4 addresses, named secrets, and titled names. The same entity gets the same s
 spelling's case or punctuation, and different entities of a form get different ones: a surrogate is a keyed permutation of all
 values of the entity's form (an alternating Feistel network over the digits' and letters' own radices), so digits stay digits, vowels
 vowels, letters of a script letters of that script, case and punctuation stay, addresses stay addresses, and numbers that satisfy the
-Luhn check (or don't) go on doing so. Given names change within the list of their gender and script.
+Luhn check (or don't) go on doing so. Given names change within the list of their gender and script, never to themselves. Letters of scripts
+without a list of their own change among the letters of their script that stand near them in Unicode.
 
 Collision check: no surrogate may be an entity that the corpus really holds, nor serve two. The corpus's entities are a table; those whose
-surrogate fails the check try the next permutation until none fails. Such entities are rare; where there are any, the documents that hold
-them are told which permutation to take by a join.
+surrogate fails the check try the next permutation until none fails. An entity that no permutation moves, or that finds none free in TRIES
+attempts because its form is small and much used, gets a longer surrogate: a permutation with keyed letters or digits added. Such entities are
+rare; where there are any, the documents that hold them are told which attempt to take by a join. One exception: a listed given name that stands
+alone may change to one that the corpus holds too, because the lists are short; it never stays and is never shared.
 
 Defined results: null and empty texts stay and have no entities. Null and repeated doc_ids are carried along.
 """
@@ -18,7 +21,9 @@ from __future__ import annotations
 
 import hashlib
 import re
+import unicodedata
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -45,7 +50,7 @@ PATTERN = re.compile(
     "|".join(
         (
             r"(?P<email>(?<![\w.%+-])[\w.%+-]++@(?:[A-Za-z0-9](?:[A-Za-z0-9-]*[A-Za-z0-9])?\.)+[A-Za-z]{2,})",
-            r"(?P<secret>(?i:(?<![A-Za-z])(?:token|secret|password|passwd|api[_-]?key|access[_-]?key)[\"']?\W{0,6}[:=]\W{0,6})[A-Za-z0-9+/_-]{12,})",
+            r"(?P<secret>(?i:(?<![A-Za-z])(?:token|secret|password|passwd|api[_-]?key|access[_-]?key)[\"']?\W{0,6}[:=]\W{0,6})(?=[+/_-]*[A-Za-z0-9])[A-Za-z0-9+/_-]{12,})",
             r"(?P<ip>(?<![\d.])(?:(?:25[0-5]|2[0-4]\d|1?\d?\d)\.){3}(?:25[0-5]|2[0-4]\d|1?\d?\d)(?![\d]|\.\d))",
             r"(?P<account>(?<![\w.])(?:\d{13,19}|\d{4}(?:[ -]\d{4}){3})(?![\w]|\.\d))",
             r"(?P<ssn>(?<![\w-])\d{3}-\d{2}-\d{4}(?![\w-]))",
@@ -60,6 +65,8 @@ HINTS = (*"@=:0123456789", *sorted({title for names in TITLES.values() for title
 _SECRET_HEAD = re.compile(r"(?s)^(.*[:=]\W{0,6})([A-Za-z0-9+/_-]{12,})$")
 _PERSON = re.compile(rf"^((?:{_TITLE})\.?)[ ](.*)$")
 ROUNDS = 8
+#: Permutations tried before a longer surrogate.
+TRIES = 8
 
 
 def permuted(values: list[int], radices: list[int], key: bytes, tweak: str) -> list[int]:
@@ -81,16 +88,35 @@ def permuted(values: list[int], radices: list[int], key: bytes, tweak: str) -> l
     return parts[0] + parts[1]
 
 
+def folded(text: str) -> str:
+    """text in small letters, character by character, so that its length stays; both small sigmas are one."""
+    return "".join("σ" if c == "ς" else low if len(low := c.lower()) == 1 else c for c in text)
+
+
+@lru_cache(maxsize=1 << 16)
+def _class_of(c: str, classes: tuple[str, ...] = CLASSES) -> str | None:
+    """The characters that c, in small form, changes among. With CLASSES also those of other scripts: the letters of the script beside it."""
+    found = next((s for s in classes if c in s), None)
+    if found or classes is not CLASSES or not c.isalpha():
+        return found
+    script = lambda x: unicodedata.name(x, " ").split(" ")[0]
+    if script(c) in ("", "LATIN", "CYRILLIC"):
+        return None
+    first, kind = ord(c) & ~0xFF, unicodedata.category(c)
+    near = "".join(x for x in map(chr, range(first, first + 256)) if unicodedata.category(x) == kind and script(x) == script(c) and folded(x) == folded(x.upper()) == x)
+    return near if c in near and len(near) > 1 else None
+
+
 def _letters(text: str, key: bytes, tweak: str, classes: tuple[str, ...] = CLASSES) -> str:
     """text with its letters and digits permuted within their classes; case and all else stay."""
     at, sets = [], []
     for k, c in enumerate(text):
-        found = next((s for s in classes if c.lower() in s), None)
+        found = _class_of(folded(c), classes)
         if found:
             at.append(k)
             sets.append(found)
     shape = "".join("x" if k in set(at) else c for k, c in enumerate(text))
-    new = permuted([s.index(text[k].lower()) for k, s in zip(at, sets, strict=True)], [len(s) for s in sets], key, f"{tweak}|{shape}")
+    new = permuted([s.index(folded(text[k])) for k, s in zip(at, sets, strict=True)], [len(s) for s in sets], key, f"{tweak}|{shape}")
     out = list(text)
     for k, s, v in zip(at, sets, new, strict=True):
         out[k] = s[v].upper() if text[k].isupper() and s[v].upper().lower() == s[v] and len(s[v].upper()) == 1 else s[v]
@@ -117,8 +143,8 @@ def canonical(kind: str, found: str) -> str:
     if kind == "person":
         title, name = _PERSON.match(found).groups()
         gender = next(g for g, names in TITLES.items() if title.rstrip(".") in names)
-        return f"{gender}:{name.lower()}"
-    return found.lower()
+        return f"{gender}:{folded(name)}"
+    return folded(found)
 
 
 def permute(kind: str, value: str, key: bytes) -> str:
@@ -148,7 +174,11 @@ def permute(kind: str, value: str, key: bytes) -> str:
     known = GIVEN[gender, script]
     everyone = {n for names in GIVEN.values() for n in names}
     if first in known:
-        new = known[permuted([known.index(first)], [len(known)], key, f"{gender}|{script}")[0]]
+        at = known.index(first)
+        new_at = permuted([at], [len(known)], key, f"{gender}|{script}")[0]
+        if new_at == at:  # the key turns the list by nothing, and so leaves every name of it
+            new_at = (at + 1 + permuted([0], [len(known) - 1], key, f"{gender}|{script}|turn")[0]) % len(known)
+        new = known[new_at]
     else:
         new = _letters(first, key, "name")
         while new in everyone and first not in everyone:
@@ -156,6 +186,20 @@ def permute(kind: str, value: str, key: bytes) -> str:
     return f"{gender}:{new}{gap}{_letters(rest, key, 'surname')}"
 
 
+def longer(kind: str, value: str, key: bytes) -> str:
+    """A permutation of value with 14 keyed letters or 20 keyed digits more, for forms that can't move or are used up."""
+    new = permute(kind, value, key)
+    salt = int.from_bytes(hashlib.blake2b(f"longer|{kind}|{value}".encode(), key=key, digest_size=32).digest(), "big")
+    if kind == "ip":
+        return ".".join([new, *(str(salt >> 8 * k & 255) for k in range(8))])
+    letters, size = ("0123456789", 20) if kind not in ("person", "email") else ("abcdefghijklmnopqrstuvwxyz", 14)
+    if kind == "person":
+        letters = _class_of(new[-1]) or letters
+    more = "".join(letters[salt // len(letters) ** k % len(letters)] for k in range(size))
+    name, sign, host = new.rpartition("@") if kind == "email" else (new, "", "")
+    return name + more + sign + host
+
+
 def _cased(value: str, key: bytes) -> str:
     """A secret's characters permuted among digits, small and capital letters, case being part of the value."""
     sets = ["0123456789" if c.isdigit() else "abcdefghijklmnopqrstuvwxyz" if c.islower() else "ABCDEFGHIJKLMNOPQRSTUVWXYZ" for c in value if c.isalnum()]
@@ -167,7 +211,7 @@ def _cased(value: str, key: bytes) -> str:
 
 def _digits_into(found: str, digits: str) -> str:
     rest = iter(digits)
-    return "".join(next(rest) if c.isdigit() else c for c in found)
+    return "".join([*(next(rest) if c.isdigit() else c for c in found), *rest])
 
 
 def rendered(kind: str, found: str, surrogate: str) -> str:
@@ -183,6 +227,8 @@ def rendered(kind: str, found: str, surrogate: str) -> str:
         new = surrogate.partition(":")[2]
         words, old = re.split(r"([ -])", new), re.split(r"([ -])", name)
         return f"{title} " + "".join(n.upper() if o.isupper() and len(o) > 1 else n.capitalize() for n, o in zip(words, old, strict=True))
+    end = found.rindex("@")
+    found = found[:end] + "x" * (len(surrogate) - len(found)) + found[end:]
     return "".join(n.upper() if o.isupper() and len(n.upper()) == 1 else n for n, o in zip(surrogate, found, strict=True))
 
 
@@ -194,7 +240,7 @@ def entities(text: str | None) -> list[tuple[str, int, int]]:
 
 
 class Surrogates(dict):
-    """(kind, canonical value, attempt) -> surrogate, remembering a bounded number. Each attempt is another permutation."""
+    """(kind, canonical value, attempt) -> surrogate, remembering a bounded number. Each attempt is another permutation, those after TRIES a longer surrogate."""
 
     LIMIT = 100_000
 
@@ -204,7 +250,9 @@ class Surrogates(dict):
     def __missing__(self, at: tuple[str, str, int]) -> str:
         kind, value, attempt = at
         key = self.key if attempt == 1 else hashlib.blake2b(str(attempt).encode(), key=self.key, digest_size=32).digest()
-        new = permute(kind, value, key)
+        new = permute(kind, value, key) if attempt <= TRIES else value
+        if attempt > 1 and new == value:
+            new = longer(kind, value, key)
         if len(self) < self.LIMIT:
             self[at] = new
         return new
@@ -225,11 +273,11 @@ def entity_table(docs: DataFrame) -> DataFrame:
     return docs.select("text").mapInArrow(found, "kind string, value string").distinct()
 
 
-def attempts(real: DataFrame, key: bytes, most: int = 64) -> DataFrame:
-    """kind, value, attempt (above 1) for the entities whose first surrogate is itself an entity of real or already another's.
+def attempts(real: DataFrame, key: bytes) -> DataFrame:
+    """kind, value, attempt (above 1) for the entities whose first surrogate is themselves, another entity of real or already another's.
 
-    Of entities with one surrogate the one with the lowest attempt and value keeps it, the others try the next permutation, until no
-    surrogate is shared or real. A given name may change to one that the corpus holds: the lists are short and names of persons common.
+    Of entities with one surrogate the one with the lowest attempt and value keeps it, the others try the next permutation, and after TRIES of
+    them longer surrogates, until no surrogate is shared or real. A listed given name alone may change to one that the corpus holds.
     """
 
     def tried(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -238,18 +286,18 @@ def attempts(real: DataFrame, key: bytes, most: int = 64) -> DataFrame:
             new = [known[at] for at in zip(*(batch.column(k).to_pylist() for k in range(3)), strict=True)]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(new, pa.string())], names=["kind", "value", "attempt", "new"])
 
-    taken = real.filter("kind <> 'person'").withColumnRenamed("value", "new")
+    alone = [f"{gender}:{name}" for (gender, _), names in GIVEN.items() for name in names]
+    taken = real.filter((F.col("kind") != "person") | ~F.col("value").isin(alone)).withColumnRenamed("value", "new")
     state = real.select("kind", "value", F.lit(1).alias("attempt"))
-    for _ in range(most):
+    while True:
         now = checkpointed(state.mapInArrow(tried, "kind string, value string, attempt int, new string"))
-        met = now.join(taken, ["kind", "new"], "left_semi").select("kind", "value")
+        met = now.join(taken, ["kind", "new"], "left_semi").unionByName(now.filter("new = value")).select("kind", "value")
         first = now.groupBy("kind", "new").agg(F.min(F.struct("attempt", "value")).alias("first"), F.count("*").alias("n")).filter("n > 1")
         shared = now.join(first, ["kind", "new"]).filter("value <> first.value").select("kind", "value")
         again = checkpointed(met.unionByName(shared).distinct().withColumn("again", F.lit(1)))
         if again.isEmpty():
             return now.filter("attempt > 1").select("kind", "value", "attempt")
         state = now.join(again, ["kind", "value"], "left").select("kind", "value", (F.col("attempt") + F.coalesce("again", F.lit(0))).alias("attempt"))
-    raise RuntimeError(f"surrogates still collide after {most} attempts")
 
 
 def replaced(docs: DataFrame, key: bytes, out: str = "text") -> DataFrame:
