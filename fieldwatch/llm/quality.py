@@ -29,14 +29,24 @@ RULES: dict[str, str] = {
     "repeated_lines": "2 * n_dup_lines > n_lines",
     "short_words": "word_chars < 2 * n_words",
     "long_words": "word_chars > 20 * n_words",
+    # since v3: half of a text that is mostly cased letters is in capitals; long words, but for scripts written without spaces
+    "capitals": "2 * n_upper > n_cased AND 2 * n_cased > word_chars",
+    "long_spaced_words": "2 * n_unspaced <= word_chars AND word_chars - n_unspaced > 20 * n_words",
 }
 #: Policies are frozen once used; a change is a new version.
 POLICIES: dict[str, tuple[str, ...]] = {
     "base": ("too_few_words", "repeated_phrases"),
     "v1": ("too_few_words", "repeated_phrases", "symbols", "shouting"),
-    "v2": tuple(RULES),
+    "v2": ("too_few_words", "repeated_phrases", "symbols", "shouting", "repeated_lines", "short_words", "long_words"),
+    "v3": ("too_few_words", "repeated_phrases", "symbols", "capitals", "repeated_lines", "short_words", "long_spaced_words"),
 }
 MEASURES = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_caps", "n_chars_all", "n_lines")
+#: Measurements that rules since v3 need besides: the characters of these classes.
+LATER_MEASURES = {
+    "n_upper": r"\p{Lu}",
+    "n_cased": r"[\p{Lu}\p{Ll}]",
+    "n_unspaced": r"[\p{IsHan}\p{IsHiragana}\p{IsKatakana}\p{IsBopomofo}\p{IsYi}\p{IsThai}\p{IsLao}\p{IsKhmer}\p{IsMyanmar}\p{IsTibetan}]",
+}
 
 
 def mask(policy: str) -> int:
@@ -77,13 +87,18 @@ def _repeat_words(w: Column) -> Column:
     return F.when(F.size(w) < 3, 0).otherwise(let(hashes, count))
 
 
-def ledger(docs: DataFrame, text: str = "text") -> DataFrame:
-    """docs with the measurements (MEASURES, long) and ``failures`` (long, a bit per rule of RULES). No shuffle: texts are read once, in place."""
+def ledger(docs: DataFrame, text: str = "text", policy: str = "v2") -> DataFrame:
+    """docs with the measurements (MEASURES, long) and ``failures`` (long, a bit per rule). No shuffle: texts are read once, in place.
+
+    The rules are those of RULES up to the policy's last, so that a ledger of v2 stays as it was; that of v3 has LATER_MEASURES too.
+    """
+    rules = list(RULES.items())[: mask(policy).bit_length()]
+    later = {name: chars for name, chars in LATER_MEASURES.items() if any(name in rule for _, rule in rules)}
     t = F.coalesce(F.col(text), F.lit(""))
     lines = F.filter(F.split(t, "\n"), lambda line: line.rlike(r"[^ \x09-\x0D]"))
     of_words = lambda w: F.struct(F.size(w).alias("n_words"), F.length(F.array_join(w, "")).alias("word_chars"), _repeat_words(w).alias("n_repeat_words"))
     of_lines = lambda x: F.struct(F.size(x).alias("n_lines"), (F.size(x) - F.size(F.array_distinct(x))).alias("n_dup_lines"))
-    kept = docs.drop(*MEASURES, "failures") if text not in MEASURES else docs
+    kept = docs.drop(*MEASURES, *later, "failures") if text not in (*MEASURES, *later) else docs
     measured = kept.select(
         "*",
         let(words(F.col(text)), of_words).alias("__w"),
@@ -91,13 +106,15 @@ def ledger(docs: DataFrame, text: str = "text") -> DataFrame:
         F.length(t).alias("__chars"),
         F.when(t.rlike(f"[{SYMBOLS}]"), F.length(t) - F.length(F.regexp_replace(t, f"[{SYMBOLS}]+", ""))).otherwise(0).alias("__symbols"),
         F.when(t.rlike(CAPS), F.length(t) - F.length(F.regexp_replace(t, CAPS, ""))).otherwise(0).alias("__caps"),
+        *(F.when(t.rlike(chars), F.length(t) - F.length(F.regexp_replace(t, f"{chars}+", ""))).otherwise(0).alias(f"__{name}") for name, chars in later.items()),
     )
     named = {
         "n_words": F.col("__w.n_words"), "word_chars": F.col("__w.word_chars"), "n_symbols": F.col("__symbols"), "n_dup_lines": F.col("__l.n_dup_lines"),
         "n_repeat_words": F.col("__w.n_repeat_words"), "n_caps": F.col("__caps"), "n_chars_all": F.col("__chars"), "n_lines": F.col("__l.n_lines"),
+        **{name: F.col(f"__{name}") for name in later},
     }
-    measured = measured.withColumns({k: v.cast("long") for k, v in named.items()}).drop("__w", "__l", "__chars", "__symbols", "__caps")
-    bits = sum((F.when(F.expr(rule), F.lit(1 << k)).otherwise(F.lit(0)).cast("long") for k, rule in enumerate(RULES.values())), F.lit(0).cast("long"))
+    measured = measured.withColumns({k: v.cast("long") for k, v in named.items()}).drop("__w", "__l", "__chars", "__symbols", "__caps", *(f"__{name}" for name in later))
+    bits = sum((F.when(F.expr(rule), F.lit(1 << k)).otherwise(F.lit(0)).cast("long") for k, (_, rule) in enumerate(rules)), F.lit(0).cast("long"))
     return measured.withColumn("failures", bits)
 
 
@@ -128,7 +145,7 @@ def ablations(ledger_rows: DataFrame, policy: str) -> DataFrame:
 
 def quality_report(docs: DataFrame, policy: str = "v2") -> DataFrame:
     """One row per document: the measurements, the failure bits, base_failed and kept."""
-    rows = ledger(docs.select("doc_id", "text"))
+    rows = ledger(docs.select("doc_id", "text"), policy=policy)
     base_ok = passes("base")
     return rows.select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", (~base_ok).alias("base_failed"),
@@ -136,9 +153,9 @@ def quality_report(docs: DataFrame, policy: str = "v2") -> DataFrame:
     )
 
 
-def keep_good(docs: DataFrame, policy: str = "v2") -> DataFrame:
+def keep_good(docs: DataFrame, policy: str = "v3") -> DataFrame:
     """The documents that the policy and the base rules keep, with their own columns."""
-    marked = ledger(docs.select(F.struct(*docs.columns).alias("__doc"), F.col("text").alias("__text")), text="__text")
+    marked = ledger(docs.select(F.struct(*docs.columns).alias("__doc"), F.col("text").alias("__text")), text="__text", policy=policy)
     return marked.filter(passes("base") & passes(policy)).select("__doc.*")
 
 
