@@ -24,10 +24,14 @@ def read_telemetry(spark: SparkSession, path: str, kind: str, streaming: bool =
 
 
 def events(spark: SparkSession, sf_dir: str, streaming: bool = False) -> DataFrame:
-    """The driver's events; as a stream, straight from the given table."""
+    """The driver's events; as a stream, straight from the given table, be it one file or a folder of part files."""
+    table = f"{sf_dir}/events.parquet"
     if streaming:
+        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(table)
+        if path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).getFileStatus(path).isDirectory():
+            return spark.readStream.schema(EVENTS).parquet(table)
         return spark.readStream.schema(EVENTS).option("pathGlobFilter", "events.parquet").parquet(sf_dir)
-    return spark.read.schema(EVENTS).parquet(f"{sf_dir}/events.parquet")
+    return spark.read.schema(EVENTS).parquet(table)
 
 
 def wells(source: DataFrame, profile: str = "fast") -> DataFrame:
