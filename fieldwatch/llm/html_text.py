@@ -6,7 +6,8 @@ negative, the more the less its kind occurs in content. One linear scan finds th
 positive scores are the text, so adverts inside an article go. Pages are handled where they are read; nothing is shuffled.
 
 Blocks (paragraphs, headings, list items and the like) are joined by one line feed, white space within is one space, character references
-are decoded. Script, style, head, template and form control contents are never words.
+are decoded. Script, style, head, template and form control contents are never words, nor is what an svg holds beside its texts. A head without an end tag
+ends at the first thing that can't stand in one, and a silent element that nothing closes at the next block.
 
 Defined results: null, empty or word-free pages have the empty text. Broken or cut markup is read as far as it goes. Null and repeated
 page_ids are carried along.
@@ -30,7 +31,16 @@ from fieldwatch.llm import labelled_pages
 #: Fixed values of HTML: elements that stand apart, have no end, hold no text, close an open paragraph, or mark a page's regions.
 BLOCKS = frozenset("address article aside blockquote body caption dd details div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hr html li main nav ol p pre section summary table tbody td tfoot th thead tr ul".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-SILENT = frozenset("script style head title noscript template textarea select option button iframe object svg math".split())
+SILENT = frozenset("script style head title noscript template textarea select option button iframe svg".split())
+IN_HEAD = frozenset("html head base basefont bgsound link meta noframes noscript script style template title".split())
+SVG_TEXT = frozenset("text foreignobject".split())
+MAY_STAY_OPEN = frozenset("noscript template textarea select button iframe svg".split())
+"""Silent elements that a page may forget to close."""
+_TAGS = r"(?:<(?!/?title)[^<>]*>[^<]*){1,4}"
+OPEN_TITLE = re.compile(r"(?i)(<title\b[^<>]*>[^<]*)(?=</?(?:head|meta|link|script|style|base|noscript|template|%s)\b)(?!%s</title)" % ("|".join(sorted(BLOCKS | {"html"})), _TAGS))
+"""A title whose end tag is missing, up to the tag that shows it."""
+TAGS_IN_TITLE = re.compile(rf"(?i)(<title\b[^<>]*>[^<]*){_TAGS}(?=</title)")
+"""A title that writes of tags; they are its text."""
 LANDMARKS = frozenset("article main nav header footer aside form".split())
 CUT_TAG = re.compile(r"<[A-Za-z/!?][^<>]*$")
 """A tag that the page's end cuts off."""
@@ -41,32 +51,45 @@ LIMIT = 3.0
 class Tokens(HTMLParser):
     """Lists of tokens: (features of the place, words, text, block) for text and (tag, 0, '', block) for tags."""
 
-    def __init__(self) -> None:
+    def __init__(self, open_ends: frozenset[int] = frozenset()) -> None:
         super().__init__(convert_charrefs=True)
-        self.stack: list[tuple[str, frozenset[str]]] = []
-        self.silent, self.block = 0, 0
+        self.stack: list[tuple[str, frozenset[str], int, int]] = []  # tag, names, what it adds to silent, its number
+        self.silent, self.block, self.number = 0, 0, 0
+        self.open_ends = open_ends
+        self.left_open: set[int] = set()
         self.out: list[tuple[frozenset[str] | str, int, str, int]] = []
         self._place: frozenset[str] | None = None
 
     def place(self) -> frozenset[str]:
         if self._place is None:
-            found = {f"<{tag}>" for tag, _ in self.stack if tag in LANDMARKS}.union(*(names for _, names in self.stack))
-            self._place = frozenset(found | {"link"} if any(tag == "a" for tag, _ in self.stack) else found)
+            found = {f"<{tag}>" for tag, *_ in self.stack if tag in LANDMARKS}.union(*(names for _, names, *_ in self.stack))
+            self._place = frozenset(found | {"link"} if any(tag == "a" for tag, *_ in self.stack) else found)
         return self._place
 
     def handle_starttag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
         self._place = None
+        self.number += 1
+        if tag == "body" or tag not in IN_HEAD and self.stack and self.stack[-1][0] in ("head", "title"):
+            self._close("head")
         if tag in BLOCKS:
             self.block += 1
-            if self.stack and any(t == "p" for t, _ in self.stack):
-                self._close("p", stop=BLOCKS - {"p"})
+            for k, (*_, number) in enumerate(self.stack if self.open_ends else ()):
+                if number in self.open_ends:
+                    self._cut(k)
+                    break
+            if self.stack and any(t == "p" for t, *_ in self.stack):
+                self._close("p", stop=BLOCKS - {"p"} | SILENT)
         self.out.append((tag, 0, "", self.block))
         if tag == "br" and not self.silent:
             self.out.append((self.place(), 0, " ", self.block))
         if tag not in VOID:
             names = frozenset(n for k, v in attrs if k in ("class", "id", "role") and v for n in re.split(r"[^a-z]+", re.sub(r"([a-z])([A-Z])", r"\1 \2", v).lower()) if n)
-            self.stack.append((tag, names))
-            self.silent += tag in SILENT
+            svg_text = tag in SVG_TEXT and any(t == "svg" for t, *_ in self.stack)
+            adds = -1 if svg_text else int(tag in SILENT)
+            self.stack.append((tag, names, adds, self.number))
+            self.silent += adds
+            if svg_text and not self.silent:
+                self.out.append((self.place(), 0, " ", self.block))
 
     def handle_startendtag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
         self.handle_starttag(tag, attrs)
@@ -76,14 +99,26 @@ class Tokens(HTMLParser):
     def _close(self, tag: str, stop: frozenset[str] = frozenset()) -> None:
         for k in range(len(self.stack) - 1, -1, -1):
             if self.stack[k][0] == tag:
-                self.silent -= sum(t in SILENT for t, _ in self.stack[k:])
-                del self.stack[k:]
+                self.left_open.update(number for t, _, _, number in self.stack[k + 1 :] if t in MAY_STAY_OPEN)
+                self._cut(k)
                 return
             if self.stack[k][0] in stop:
                 return
 
+    def _cut(self, k: int) -> None:
+        """Ends the k-th open element and those in it."""
+        self._place = None
+        self.silent -= sum(adds for _, _, adds, _ in self.stack[k:])
+        del self.stack[k:]
+
+    def close(self) -> None:
+        super().close()
+        self.left_open.update(number for t, _, _, number in self.stack if t in MAY_STAY_OPEN)
+
     def handle_endtag(self, tag: str) -> None:
         self._place = None
+        if tag in SVG_TEXT and not self.silent:
+            self.out.append((self.place(), 0, " ", self.block))
         if tag in BLOCKS:
             self.block += 1
         self.out.append((f"/{tag}", 0, "", self.block))
@@ -91,14 +126,21 @@ class Tokens(HTMLParser):
             self._close(tag)
 
     def handle_data(self, data: str) -> None:
+        if self.stack and self.stack[-1][0] == "head" and data.strip():
+            self._close("head")
         if not self.silent:
             self.out.append((self.place(), len(data.split()), data, self.block))
 
 
 def tokens(html: str) -> list[tuple[frozenset[str] | str, int, str, int]]:
+    page = TAGS_IN_TITLE.sub(r"\1", OPEN_TITLE.sub(r"\1</title>", CUT_TAG.sub("", html)))
     reader = Tokens()
-    reader.feed(CUT_TAG.sub("", html))
+    reader.feed(page)
     reader.close()
+    if reader.left_open:  # read again, knowing what is never closed
+        reader = Tokens(frozenset(reader.left_open))
+        reader.feed(page)
+        reader.close()
     return reader.out
 
 
