@@ -1,6 +1,6 @@
 """Labelled pages for the content extractor: small pages whose parts are known to be content or not.
 
-They are put together from the lists below, so that every kind of part occurs beside, before, after and inside an article.
+They are synthetic: put together from the lists below, so that every kind of part occurs beside, before, after and inside an article.
 """
 
 from __future__ import annotations
@@ -9,7 +9,9 @@ from __future__ import annotations
 OUTSIDE = (
     "ad ads advert advertisement adsense adbox banner sponsor sponsored promo promotion cookie cookies consent gdpr notice alert popup modal overlay newsletter subscribe "
     "subscription signup sidebar widget rail related recommended trending popular menu nav navbar navigation breadcrumb breadcrumbs pagination header masthead topbar toolbar footer "
-    "colophon copyright comment comments respond reply replies disqus discussion feedback share sharing social follow form search login register skip disclaimer legal tagcloud"
+    "colophon copyright comment comments respond reply replies disqus discussion feedback share sharing social follow form search login register skip disclaimer legal tagcloud "
+    "werbung anzeige anzeigen kommentar kommentare teilen verwandt seitenleiste fusszeile impressum datenschutz anmelden publicite annonce annonces commentaire commentaires partager partage "
+    "pied connexe publicidad anuncio anuncios comentario comentarios compartir relacionados suscripcion boletin pie reklama reklamnyy kommentarii kommentariy podelitsya podpiska"
 ).split()
 INSIDE = "article content post entry story main body text maincontent articlebody blog page hentry prose".split()
 ELEMENTS_OUTSIDE = ("nav", "header", "footer", "aside", "form")
