@@ -159,7 +159,8 @@ def near_duplicates(docs: DataFrame, radius: int = 4, shingle: int = 4, tile: in
     roots = components(links(classes.select("fp"), radius, tile))
     joined = checkpointed(classes.join(roots.withColumnRenamed("node", "fp"), "fp", "left"))
     least = checkpointed(joined.filter("root IS NOT NULL").groupBy("root").agg(F.min("first").alias("least")))
-    named = joined.join(least, "root", "left").select("fp", F.coalesce("least", "first").alias("component_id"), "first", "n")
+    linked = joined.filter("root IS NOT NULL").join(least, "root").select("fp", F.coalesce("least", "first").alias("component_id"), "first", "n")
+    named = linked.unionByName(joined.filter("root IS NULL").select("fp", F.col("first").alias("component_id"), "first", "n"))  # these join nothing
     shared = named.filter("n > 1 OR NOT (component_id <=> first)").select("fp", "component_id", F.explode(F.array(*[F.lit(i) for i in range(salts)])).alias("salt"))
     salted = prints.withColumn("salt", F.pmod(F.xxhash64("doc_id"), F.lit(salts)).cast("int"))
     hexed: Column = F.lower(F.lpad(F.hex("fp"), 16, "0"))
