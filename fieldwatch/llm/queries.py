@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from fieldwatch.llm import bpe, covertree, html_text, packing, pii, quality, simhash, substring, toxicity, warc
+from fieldwatch.llm import bpe, collocations, covertree, html_text, packing, pii, quality, simhash, substring, toxicity, warc
 from fieldwatch.llm.common import table
 
 
@@ -55,6 +55,10 @@ def op10_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.surrogate_report(table(spark, sf_dir, "documents"), SURROGATE_KEY)
 
 
+def op11_phrase_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_warc_bundles": op1_warc_bundles,
     "op2_main_text": op2_main_text,
@@ -66,9 +70,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_substring_dedup": op8_substring_dedup,
     "op9_chunked_bpe": op9_chunked_bpe,
     "op10_surrogates": op10_surrogates,
+    "op11_phrase_collocations": op11_phrase_collocations,
 }
 
 ORACLE_SQL: dict[str, str] = {
     "op3_rule_ledger": quality.REPORT_SQL,
     "op5_cover_trees": covertree.TOP_K_SQL,
+    "op11_phrase_collocations": collocations.COLLOCATIONS_SQL,
 }

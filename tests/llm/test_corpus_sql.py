@@ -8,7 +8,7 @@ from fieldwatch.llm.queries import ORACLE_SQL, QUERIES
 
 
 def test_one_query_for_each_operator():
-    assert [name.split("_")[0] for name in QUERIES] == [f"op{n}" for n in range(1, 11)]
+    assert [name.split("_")[0] for name in QUERIES] == [f"op{n}" for n in range(1, 12)]
     assert [name for name, _ in corpus_pipeline.STAGES] == ["quality rules", "near copies", "repeated passages", "personal data", "packing"]
 
 
