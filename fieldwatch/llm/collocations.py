@@ -27,6 +27,7 @@ from functools import reduce
 import numpy as np
 import pyarrow as pa
 import xxhash
+import zstandard
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -118,9 +119,10 @@ def _counted(docs: Iterator[tuple[str, np.ndarray, list[bytes]]], step: int, sha
 
 def _scan(texts: DataFrame, step: int, shards: int, longest: int, noted: list[np.ndarray], bits: int, seed: int, flush: int) -> DataFrame:
     """Sums of one scan, a row for each open phrase and task at least."""
-    shared = texts.sparkSession.sparkContext.broadcast(noted)
+    shared = texts.sparkSession.sparkContext.broadcast([zstandard.compress(table.data, 1) for table in noted])
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tables = [np.frombuffer(zstandard.decompress(x), np.uint8) for x in shared.value]
         hashes, held, size = Hashes(seed), [], 0
         for batch in batches:
             for lang, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
@@ -130,9 +132,9 @@ def _scan(texts: DataFrame, step: int, shards: int, longest: int, noted: list[np
                     held.append((lang, _of_language(np.fromiter(map(hashes.__getitem__, words), np.uint64, len(words)), lang, seed), words if step < shards else []))
                     size += len(words)
                 if size >= flush:
-                    yield from _counted(held, step, shards, longest, shared.value, bits)
+                    yield from _counted(held, step, shards, longest, tables, bits)
                     held, size = [], 0
-        yield from _counted(held, step, shards, longest, shared.value, bits)
+        yield from _counted(held, step, shards, longest, tables, bits)
 
     keys = "".join(f"h{k + 1} long, " for k in range(longest))
     return texts.mapInArrow(count, f"lang string, word binary, {keys}length int, start int, n long")
@@ -248,20 +250,31 @@ def collocations(docs: DataFrame, longest: int = 3, least: int = 10, top: int =
 #: DuckDB SQL for collocations(documents).
 COLLOCATIONS_SQL = """
 WITH pieces AS (
-    SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\\x0A-\\x0D]')) AS piece
+    SELECT row_number() OVER () AS piece, coalesce(lang, 'und') AS lang,
+        unnest(string_split(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ.,;:!?' || chr(11) || chr(12) || chr(13) || chr(9), 'abcdefghijklmnopqrstuvwxyz' || repeat(chr(10), 9) || ' '), chr(10))) AS text
     FROM documents),
-listed AS (SELECT lang, list_filter(regexp_split_to_array(piece, '[ \\t]+'), lambda x: x <> '') AS ws FROM pieces),
-grams AS (SELECT lang, length, unnest(list_transform(range(1, len(ws) - length + 2), lambda i: ws[i:i + length - 1])) AS p FROM listed, (VALUES (1), (2), (3)) AS l(length)),
-f AS MATERIALIZED (SELECT lang, length, p, count(*) AS f FROM grams GROUP BY ALL),
-totals AS (SELECT lang, sum(f)::BIGINT AS n FROM f WHERE length = 1 GROUP BY lang),
-often AS (SELECT * FROM f WHERE f >= 10),
-absorbed AS (SELECT lang, part, max(f) AS m FROM (SELECT lang, unnest([p[1:2], p[2:3]]) AS part, f FROM often WHERE length = 3) GROUP BY ALL),
+listed AS (SELECT row_number() OVER () AS piece, lang, string_split(text, ' ') AS ws FROM pieces),
+words AS (SELECT piece, lang, unnest(ws) AS w, generate_subscripts(ws, 1) AS pos FROM listed),
+kept AS (SELECT * FROM words WHERE w <> ''),
+runs AS (SELECT lang, w AS w1, lead(w, 1) OVER here AS w2, lead(w, 2) OVER here AS w3 FROM kept WINDOW here AS (PARTITION BY piece ORDER BY pos)),
+f1 AS MATERIALIZED (SELECT lang, w1, count(*) AS f FROM runs GROUP BY ALL),
+f2 AS MATERIALIZED (SELECT lang, w1, w2, count(*) AS f FROM runs WHERE w2 IS NOT NULL GROUP BY ALL HAVING f >= 10),
+f3 AS MATERIALIZED (SELECT lang, w1, w2, w3, count(*) AS f FROM runs WHERE w3 IS NOT NULL GROUP BY ALL HAVING f >= 10),
+totals AS (SELECT lang, sum(f)::BIGINT AS n FROM f1 GROUP BY lang),
+absorbed AS (SELECT lang, w1, w2, max(f) AS m FROM (SELECT lang, w1, w2, f FROM f3 UNION ALL SELECT lang, w2, w3, f FROM f3) GROUP BY lang, w1, w2),
 cuts AS (
-    SELECT o.lang, o.p, o.f AS a, k, l.f AS l, r.f AS r, ((1000000::HUGEINT * o.f * o.f) // (l.f::HUGEINT * r.f))::BIGINT AS score
-    FROM often o JOIN (VALUES (1), (2)) AS c(k) ON k < o.length JOIN f l ON l.lang = o.lang AND l.p = o.p[1:k] JOIN f r ON r.lang = o.lang AND r.p = o.p[k + 1:]),
-best AS (SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, p ORDER BY score, k) = 1),
-ranked AS (
-    SELECT b.lang, array_to_string(b.p, ' ') AS phrase, a, l, r, score, row_number() OVER (PARTITION BY b.lang ORDER BY score DESC, a DESC, array_to_string(b.p, ' ')) AS rank
-    FROM best b LEFT JOIN absorbed x ON x.lang = b.lang AND x.part = b.p WHERE x.m IS NULL OR 100 * x.m < 50 * a)
+    SELECT o.lang, o.w1 || ' ' || o.w2 AS phrase, o.f AS a, 1 AS k, l.f AS l, r.f AS r
+    FROM f2 o JOIN f1 l ON l.lang = o.lang AND l.w1 = o.w1 JOIN f1 r ON r.lang = o.lang AND r.w1 = o.w2
+        LEFT JOIN absorbed x ON x.lang = o.lang AND x.w1 = o.w1 AND x.w2 = o.w2
+    WHERE x.m IS NULL OR 100 * x.m < 50 * o.f
+    UNION ALL
+    SELECT o.lang, o.w1 || ' ' || o.w2 || ' ' || o.w3, o.f, 1, l.f, r.f
+    FROM f3 o JOIN f1 l ON l.lang = o.lang AND l.w1 = o.w1 JOIN f2 r ON r.lang = o.lang AND r.w1 = o.w2 AND r.w2 = o.w3
+    UNION ALL
+    SELECT o.lang, o.w1 || ' ' || o.w2 || ' ' || o.w3, o.f, 2, l.f, r.f
+    FROM f3 o JOIN f2 l ON l.lang = o.lang AND l.w1 = o.w1 AND l.w2 = o.w2 JOIN f1 r ON r.lang = o.lang AND r.w1 = o.w3),
+scored AS (SELECT *, ((1000000::HUGEINT * a * a) // (l::HUGEINT * r))::BIGINT AS score FROM cuts),
+best AS (SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM best)
 SELECT lang, rank, phrase, a, l, r, n, score FROM ranked JOIN totals USING (lang) WHERE rank <= 2000
 """
