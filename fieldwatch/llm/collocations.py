@@ -36,7 +36,9 @@ from fieldwatch.llm.common import new_path
 #: Lower case for A-Z is bytes.lower; what ends a piece becomes a line feed, and a tab a space.
 PIECES = bytes.maketrans(b".,;:!?\n\x0b\x0c\r\t", b"\n" * 10 + b" ")
 BREAK, NEVER = 1, 255
-FLUSH = 1 << 21
+FLUSH = 1 << 20
+#: Rows of an Arrow batch that a task sends on.
+ROWS = 1 << 16
 #: Parts of each language that choose their best rows before the last choice.
 PARTS = 32
 
@@ -44,7 +46,7 @@ PARTS = 32
 class Hashes(dict):
     """word -> 64-bit hash, remembering a bounded number of words."""
 
-    LIMIT = 500_000
+    LIMIT = 200_000
 
     def __init__(self, seed: int) -> None:
         super().__init__({b"\n": BREAK})
@@ -78,35 +80,38 @@ def cell_column(length: int, bits: int) -> Column:
     return F.expr(f"({' ^ '.join(f'shiftrightunsigned(h{k + 1}, {64 - bits - 7 * k})' for k in range(length))}) & {(1 << bits) - 1}")
 
 
-def _counted(docs: Iterator[tuple[str, np.ndarray, list[bytes]]], step: int, shards: int, longest: int, noted: list[np.ndarray], bits: int) -> Iterator[pa.RecordBatch]:
+def _counted(docs: list[tuple[str, np.ndarray, list[bytes]]], step: int, shards: int, longest: int, noted: list[np.ndarray], bits: int) -> Iterator[pa.RecordBatch]:
     """Counts of the open phrases of some documents: lang and word of single words, hashes, the scan from which they count, and n."""
-    docs = list(docs)
     if not docs:
         return
     h = np.concatenate([x for _, x, _ in docs])
-    ends = np.cumsum([len(x) for _, x, _ in docs])
+    lengths = np.array([len(x) for _, x, _ in docs])
+    ends = np.cumsum(lengths)
+    begins = ends - lengths
     _, first, ids, n = np.unique(h, return_index=True, return_inverse=True, return_counts=True)
     word = h != BREAK
 
-    def batch(at: np.ndarray, length: int, start: np.ndarray, counts: np.ndarray, langs: list[str | None], words: list[bytes | None]) -> pa.RecordBatch:
-        keys = [pa.array(h[at + k].view(np.int64) if k < length else np.zeros(len(at), np.int64)) for k in range(longest)]
-        arrays = [pa.array(langs, pa.string()), pa.array(words, pa.binary()), *keys, pa.array(np.full(len(at), length, np.int32)), pa.array(start.astype(np.int32)), pa.array(counts.astype(np.int64))]
-        return pa.RecordBatch.from_arrays(arrays, names=["lang", "word", *(f"h{k + 1}" for k in range(longest)), "length", "start", "n"])
+    def rows(at: np.ndarray, length: int, start: np.ndarray, counts: np.ndarray) -> Iterator[pa.RecordBatch]:
+        for k in range(0, len(at), ROWS):
+            here, few = at[k : k + ROWS], min(ROWS, len(at) - k)
+            langs, words = pa.nulls(few, pa.string()), pa.nulls(few, pa.binary())
+            if length == 1:
+                of = np.searchsorted(ends, here, side="right")
+                langs = pa.array([docs[d][0] for d in of.tolist()], pa.string())
+                words = pa.array([docs[d][2][i] for d, i in zip(of.tolist(), (here - begins[of]).tolist(), strict=True)], pa.binary())
+            keys = [pa.array(h[here + n].view(np.int64) if n < length else np.zeros(few, np.int64)) for n in range(longest)]
+            numbers = [pa.array(np.full(few, length, np.int32)), pa.array(start[k : k + ROWS].astype(np.int32)), pa.array(counts[k : k + ROWS].astype(np.int64))]
+            yield pa.RecordBatch.from_arrays([langs, words, *keys, *numbers], names=["lang", "word", *(f"h{n + 1}" for n in range(longest)), "length", "start", "n"])
 
     if step < shards:
         kept = word[first]
-        at, counts = first[kept], n[kept]
-        of = np.searchsorted(ends, at, side="right")
-        begins = ends - [len(x) for _, x, _ in docs]
-        yield batch(at, 1, np.zeros(len(at)), counts, [docs[d][0] for d in of], [docs[d][2][i] for d, i in zip(of.tolist(), (at - begins[of]).tolist(), strict=True)])
+        yield from rows(first[kept], 1, np.zeros(int(kept.sum())), n[kept])
     at, ids = np.flatnonzero(word), ids.astype(np.int64)
     for length in range(2, longest + 1):
         at = at[at + length - 1 < len(h)]
-        inside = word[at + length - 1]
-        at = at[inside]
-        table = noted[length - 2]
-        before = [h[at + k] for k in range(length)]
-        later = np.maximum(table[_cells(before[:-1], bits)], table[_cells(before[1:], bits)]).astype(np.int32)
+        at = at[word[at + length - 1]]
+        table, parts = noted[length - 2], [h[at + k] for k in range(length)]
+        later = np.maximum(table[_cells(parts[:-1], bits)], table[_cells(parts[1:], bits)]).astype(np.int32)
         open_ = (later < step) & (step <= later + shards)
         at_open, begun = at[open_], later[open_] + 1
         key = ids[at_open]
@@ -114,7 +119,7 @@ def _counted(docs: Iterator[tuple[str, np.ndarray, list[bytes]]], step: int, sha
             dense = key if k == 1 else np.unique(key, return_inverse=True)[1].astype(np.int64)
             key = (dense << 32) | ids[at_open + k]
         _, first, counts = np.unique(key, return_index=True, return_counts=True)
-        yield batch(at_open[first], length, begun[first], counts, [None] * len(first), [None] * len(first))
+        yield from rows(at_open[first], length, begun[first], counts)
 
 
 def _scan(texts: DataFrame, step: int, shards: int, longest: int, noted: list[np.ndarray], bits: int, seed: int, flush: int) -> DataFrame:
@@ -146,8 +151,8 @@ def _remove(spark: SparkSession, path: str) -> None:
 
 
 def _noted_now(rows: DataFrame, longest: int, least: int, bits: int) -> list[np.ndarray]:
-    """For each length but the last, the cells of phrases that have reached the threshold in this scan; they come as native bitmaps of 4 KB a range of cells."""
-    reached = rows.filter((F.col("length") < longest) & (F.col("n") >= least) & (F.col("n_before") < least))
+    """For each length but the last, the cells of open phrases, and of those that this scan ended, that have reached the threshold; they come as native bitmaps of 4 KB a range of cells."""
+    reached = rows.filter((F.col("length") < longest) & (F.col("n") >= least))
     cell = F.coalesce(*[F.when(F.col("length") == k, cell_column(k, bits)) for k in range(1, longest)]) + 1  # bitmaps count from one
     maps = reached.select("length", cell.alias("c")).groupBy("length", F.bitmap_bucket_number("c").alias("b")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("c")).alias("bits")).collect()
     found = [[np.empty(0, np.int64)] for _ in range(1, longest)]
@@ -156,7 +161,7 @@ def _noted_now(rows: DataFrame, longest: int, least: int, bits: int) -> list[np.
     return [np.concatenate(x) for x in found]
 
 
-def phrase_counts(docs: DataFrame, longest: int = 3, least: int = 10, shards: int = 3, cell_bits: int = 25, flush: int = FLUSH, seed: int = 0) -> DataFrame:
+def phrase_counts(docs: DataFrame, longest: int = 3, least: int = 10, shards: int = 2, cell_bits: int = 24, flush: int = FLUSH, seed: int = 0) -> DataFrame:
     """Every phrase of up to ``longest`` words with a count of ``least`` or more, exactly: lang and word (of single words), h1 to h{longest}, length, n; and each language's word
     total as a row of length 0."""
     spark = docs.sparkSession
@@ -169,14 +174,14 @@ def phrase_counts(docs: DataFrame, longest: int = 3, least: int = 10, shards: in
     while step < last_start + shards:
         if step == NEVER:
             raise ValueError("too many scans: take fewer shards or shorter phrases")
-        found = _scan(read.filter(F.col("shard") == step % shards).select("lang", "text"), step, shards, longest, noted, cell_bits, seed, flush).withColumn("n_before", F.lit(0).cast("long"))
+        found = _scan(read.filter(F.col("shard") == step % shards).select("lang", "text"), step, shards, longest, noted, cell_bits, seed, flush)
         if open_rows is not None:
-            found = found.unionByName(open_rows.withColumn("n_before", F.col("n")).select(*found.columns))
-        sums = found.groupBy("lang", "word", *keys, "length", "start").agg(F.sum("n").alias("n"), F.sum("n_before").alias("n_before"))
+            found = found.unionByName(open_rows.select(*found.columns))
+        sums = found.groupBy("lang", "word", *keys, "length", "start").agg(F.sum("n").alias("n"))
         path, ends = f"{home}/scan-{step}", F.col("start") + (shards - 1)
         over = (ends == step) & (F.col("n") < least) & (F.col("length") > 1)
         sums.filter(~over).withColumn("open", ends > step).write.partitionBy("open").parquet(path)
-        rows = spark.read.schema(f"lang string, word binary, {''.join(f'{k} long, ' for k in keys)}length int, start int, n long, n_before long, open boolean").parquet(path)
+        rows = spark.read.schema(f"lang string, word binary, {''.join(f'{k} long, ' for k in keys)}length int, start int, n long, open boolean").parquet(path)
         if step == shards - 1 and not rows.filter("length = 1 AND NOT open").groupBy("h1").count().filter("count > 1").isEmpty():
             _remove(spark, home)
             if seed == 7:
