@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from fieldwatch.llm import bpe, collocations, covertree, html_text, packing, pii, quality, simhash, substring, toxicity, warc
+from fieldwatch.llm import bpe, collocations, covertree, html_text, link_trust, packing, pii, prefix_trie, quality, simhash, substring, toxicity, warc
 from fieldwatch.llm.common import table
 
 
@@ -59,6 +59,14 @@ def op11_phrase_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return collocations.collocations(table(spark, sf_dir, "documents"))
 
 
+def op12_link_trust(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return link_trust.verdicts(table(spark, sf_dir, "pages"))
+
+
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.trie(table(spark, sf_dir, "conversations"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_warc_bundles": op1_warc_bundles,
     "op2_main_text": op2_main_text,
@@ -71,10 +79,14 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_chunked_bpe": op9_chunked_bpe,
     "op10_surrogates": op10_surrogates,
     "op11_phrase_collocations": op11_phrase_collocations,
+    "op12_link_trust": op12_link_trust,
+    "op13_prefix_trie": op13_prefix_trie,
 }
 
 ORACLE_SQL: dict[str, str] = {
     "op3_rule_ledger": quality.REPORT_SQL,
     "op5_cover_trees": covertree.TOP_K_SQL,
     "op11_phrase_collocations": collocations.COLLOCATIONS_SQL,
+    "op12_link_trust": link_trust.VERDICTS_SQL,
+    "op13_prefix_trie": prefix_trie.TRIE_SQL,
 }
