@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from fieldwatch.functions.rules import first_match
@@ -46,6 +46,15 @@ def with_curve(wells: DataFrame, curves: DataFrame | None = None) -> DataFrame:
     return joined.select(*wells.columns, *[F.coalesce(f"__{k}", F.lit(v)).alias(k) for k, v in DESIGN.items()])
 
 
+def with_curve_as_of(wells: DataFrame, curves: DataFrame) -> DataFrame:
+    """Adds the design point that was valid at each reading: of the well's rows in curves (well_id, valid_from in epoch milliseconds, and the columns of DESIGN) the latest that began at or
+    before it, the common one where none had. curves is a table; wells may be a stream."""
+    until = F.lead("valid_from").over(Window.partitionBy("well_id").orderBy("valid_from"))
+    own = curves.filter("valid_from IS NOT NULL").select(F.col("well_id").alias("__well"), "valid_from", until.alias("__until"), *[F.col(k).alias(f"__{k}") for k in DESIGN])
+    met = (F.col("well_id") == F.col("__well")) & (F.col("timestamp") >= F.col("valid_from")) & (F.col("__until").isNull() | (F.col("timestamp") < F.col("__until")))
+    return wells.join(own, met, "left").select(*wells.columns, *[F.coalesce(f"__{k}", F.lit(v)).alias(k) for k, v in DESIGN.items()])
+
+
 def pump_features(wells: DataFrame) -> DataFrame:
     """Deviations from the design point, temperature rise, efficiency, gas flag and vibration severity (at most 1, may be negative). Needs the columns of with_curve."""
     first = wells.select(
@@ -91,9 +100,14 @@ def alarm_level(diagnosed: DataFrame) -> DataFrame:
     return leveled.withColumn("recommended_action", first_match(texts, ACTIONS["NORMAL"]))
 
 
+def judged(curved: DataFrame) -> DataFrame:
+    """Health, fault and alarm of running pumps' readings that have a design point."""
+    return alarm_level(failure_mode(health_index(pump_features(curved))))
+
+
 def pump_health(wells: DataFrame, curves: DataFrame | None = None) -> DataFrame:
     """The whole chain over running pumps. Missing measures are filtered first: least() would pass over a null and report the worst vibration."""
-    return alarm_level(failure_mode(health_index(pump_features(with_curve(active_pumps(wells), curves)))))
+    return judged(with_curve(active_pumps(wells), curves))
 
 
 def maintenance_band() -> Column:

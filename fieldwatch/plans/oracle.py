@@ -132,6 +132,20 @@ def _similar(threshold: float) -> str:
 r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY cosine DESC, vec_id)::INT AS rank FROM c WHERE cosine >= {threshold}e0) SELECT query_id, vec_id, round(cosine, 6) AS cosine, rank FROM r WHERE rank <= 3"""
 
 
+#: What a stream has closed: joined readings whose window is over for both feeds, and readings of running pumps older than the watermark.
+CLOSED_PAIRS = "(well_ts // 5000) * 5000 + 5000 <= least((SELECT max(timestamp) FROM w), (SELECT max(timestamp) FROM t)) - 70000"
+#: The pump reports have a watermark of their own, and the least of all counts.
+CLOSED_EVENTS = CLOSED_PAIRS.replace("FROM t))", "FROM t), (SELECT max(timestamp) FROM a))")
+CLOSED_PUMPS = "ts < (SELECT max(ts) - 10000 FROM r)"
+HEALTH_CLOSED = HEALTH.replace("WHERE is_anomaly", f"WHERE is_anomaly AND {CLOSED_PAIRS}")
+OVERLAY_CLOSED = OVERLAY.replace("FROM l)", f"FROM l WHERE {CLOSED_PUMPS})").replace("FROM o WHERE", f"FROM o WHERE timestamp < (SELECT max(ts) - 10000 FROM r) AND")
+ALARM_LIST = "well_id, ts, n, pump_alarm_level, failure_mode, round(pump_health_index, 4) AS pump_health_index, rul, rul_method, round(flow_deviation_pct, 4) AS flow_deviation_pct, round(pressure_deviation_pct, 4) AS pressure_deviation_pct, round(temp_rise_f, 4) AS temp_rise_f, key, expires_at"
+EVENT_LIST = "well_id, well_ts, facility_id, round(methane_zscore, 4) AS methane_zscore, methane_ppm, emission_risk_level, round(pump_health_index, 4) AS pump_health_index, pump_alarm_level, pressure_psi, round(temp_rise_f, 4) AS temp_rise_f, round(flow_deviation_pct, 4) AS flow_deviation_pct"
+DATED_CURVES = f""", cv AS (SELECT 'WELL-' || k AS cv_well, {T0} + turn * 300000 AS valid_from, 150.0e0 + 2 * k + 10 * turn AS cv_flow, 280.0e0 + k AS cv_pressure FROM (SELECT DISTINCT well_id[6:]::INT AS k FROM wc), range(3) AS r(turn) WHERE k % 5 <> 0),
+wx AS (SELECT wc.*, coalesce(cv_flow, 175.0e0) AS design_flow_bpd, coalesce(cv_pressure, 300.0e0) AS design_pressure_psi, CASE WHEN cv_flow IS NULL THEN 90.0e0 ELSE 88.0e0 END AS design_temperature_f
+  FROM wc ASOF LEFT JOIN cv ON wc.well_id = cv.cv_well AND wc.timestamp >= cv.valid_from)"""
+
+
 SQL: dict[str, str] = {
     "well_classified": f"WITH {_wells()}, {WC} SELECT {WELL_LIST}, n, emission_risk_level, data_quality_score FROM wc",
     "tank_classified": f"WITH {EV}, {TANKS}, {TC} SELECT * FROM tc",
@@ -181,4 +195,12 @@ SQL: dict[str, str] = {
     "stream_facility_daily": f"SELECT * FROM ({DAILY}) WHERE window_end <= (SELECT max(epoch_us(ts) // 1000) - 10000 FROM events)",
     "stream_pump_alarms": f"WITH {_pump()} SELECT well_id, timestamp, n, pump_alarm_level, failure_mode, round(pump_health_index, 4) AS pump_health_index FROM a WHERE pump_alarm_level IN ('L4_SHUTDOWN', 'L3_CRITICAL', 'L2_WARNING')",
     "stream_methane_zscore": f"WITH {_joined()}, {Z} SELECT well_id, tank_id, well_ts, tank_ts, round(methane_zscore, 6) AS methane_zscore, predictive_maintenance_score, is_anomaly FROM zz WHERE (well_ts // 5000) * 5000 + 5000 <= least((SELECT max(timestamp) FROM w), (SELECT max(timestamp) FROM t)) - 70000",
+    "stream_facility_health_latest": f"WITH {_joined()}, {Z}, {HEALTH_CLOSED} SELECT {HEALTH_LIST} FROM hl",
+    "stream_phi_history": f"WITH {HISTORY} SELECT well_id, ts, n_history, first_ts, round(phi_sum, 3) AS phi_sum, round(slope, 4) AS slope, round(intercept, 4) AS intercept, round(r2, 4) AS r2 FROM tr WHERE {CLOSED_PUMPS}",
+    "stream_pump_alarm_latest": f"WITH {OVERLAY_CLOSED} SELECT {ALARM_LIST} FROM al",
+    "stream_kpi_changes": _windows("fast", "well_id", 5000, True),
+    "stream_served_keys": f"SELECT key, expires_at FROM (WITH {_joined()}, {Z}, {HEALTH_CLOSED} SELECT {HEALTH_LIST} FROM hl) UNION ALL SELECT key, expires_at FROM (WITH {OVERLAY_CLOSED} SELECT {ALARM_LIST} FROM al)",
+    "kept_alarm_lookup": f"WITH {OVERLAY_CLOSED} SELECT key, ts, pump_alarm_level, rul, rul_method, expires_at FROM al WHERE well_id = 'WELL-18' AND expires_at > (SELECT max(timestamp) FROM w)",
+    "stream_pump_health_as_of": f"WITH {_pump('fast', 'design_flow_bpd', 'design_pressure_psi', 'design_temperature_f', DATED_CURVES)} SELECT well_id, timestamp, design_flow_bpd, round(pump_health_index, 4) AS pump_health_index, failure_mode, pump_alarm_level FROM a",
+    "stream_anomaly_events": f"WITH {EVENTS} SELECT {EVENT_LIST} FROM e WHERE {CLOSED_EVENTS}",
 }

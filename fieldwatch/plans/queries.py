@@ -279,6 +279,47 @@ def stream_methane_zscore(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _rounded(streams.methane_zscore(spark, sf_dir), "methane_zscore")
 
 
+def stream_facility_health_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _rounded(streams.facility_health(spark, sf_dir), "methane_zscore")
+
+
+def stream_phi_history(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = _rounded(_rounded(streams.phi_history(spark, sf_dir), "phi_sum", places=3), "slope", "intercept", "r2", places=4)
+    return rows.select("well_id", "ts", "n_history", "first_ts", "phi_sum", "slope", "intercept", "r2")
+
+
+def stream_pump_alarm_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _rounded(streams.pump_alarm_latest(spark, sf_dir), "pump_health_index", "flow_deviation_pct", "pressure_deviation_pct", "temp_rise_f", places=4)
+
+
+def stream_kpi_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _rounded(streams.kpi_changes(spark, sf_dir), "avg_methane")
+
+
+def stream_served_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return streams.both_served(spark, sf_dir)
+
+
+def kept_alarm_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = streams.kept_alarm(spark, sf_dir, "WELL-18", _now(_wells(spark, sf_dir, "mixed")))
+    return rows.select("key", "ts", "pump_alarm_level", "rul", "rul_method", "expires_at")
+
+
+def _dated_curves(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three design points one after another for every well but each fifth, derived from the events' wells: from the start, and after each third of a quarter of an hour."""
+    wells = _curves(spark, sf_dir).withColumn("turn", F.explode(F.expr("sequence(0L, 2L)")))
+    return wells.select("well_id", (F.lit(T0) + F.col("turn") * 300_000).alias("valid_from"), (F.col("design_flow_bpd") + 10 * F.col("turn")).alias("design_flow_bpd"), "design_pressure_psi", "design_temperature_f")
+
+
+def stream_pump_health_as_of(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _rounded(streams.health_as_of(spark, sf_dir, _dated_curves(spark, sf_dir)), "pump_health_index", places=4)
+
+
+def stream_anomaly_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = _rounded(streams.anomaly_events(spark, sf_dir), "methane_zscore", "pump_health_index", "temp_rise_f", "flow_deviation_pct", places=4)
+    return rows.select("well_id", "well_ts", "facility_id", "methane_zscore", "methane_ppm", "emission_risk_level", "pump_health_index", "pump_alarm_level", "pressure_psi", "temp_rise_f", "flow_deviation_pct")
+
+
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
@@ -287,6 +328,7 @@ QUERIES: dict[str, Query] = {
         facility_health_latest, facility_payloads, health_lookup, well_realtime_kpis, ldar_hourly_compliance, facility_daily_emissions, retained_compliance, phi_history_last50,
         phi_history_sessions, phi_history_length, phi_history_entries, phi_trend, rul_prediction, rul_overlay, pump_alarm_latest, pump_alarm_payloads, alarm_lookup, anomaly_events,
         anomaly_types, compliance_flags, incident_records, incident_log, similar_incidents, similar_incidents_strict, stream_interval_join, stream_well_kpis, stream_ldar_hourly,
-        stream_facility_daily, stream_pump_alarms, stream_methane_zscore,
+        stream_facility_daily, stream_pump_alarms, stream_methane_zscore, stream_facility_health_latest, stream_phi_history, stream_pump_alarm_latest, stream_kpi_changes, stream_served_keys,
+        kept_alarm_lookup, stream_pump_health_as_of, stream_anomaly_events,
     )
 }

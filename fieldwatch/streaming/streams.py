@@ -1,17 +1,21 @@
-"""Streams of telemetry run to their end into tables, and read back.
+"""Streams of telemetry run to their end into tables and stores, and read back.
 
-Each run has its own table and checkpoint. Every analytic step stands before the sink, where the optimiser reaches it.
+``run`` gives each run its own table and checkpoint; ``resume`` goes on from a named pair. Every analytic step stands before the sink, where the optimiser reaches it;
+sinks only keep what a batch brings, so that a batch that is repeated after a failure changes nothing.
 """
 
 from __future__ import annotations
 
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
 
-from fieldwatch.operators import anomaly, classify, compliance, joins, pump
+from fieldwatch.operators import anomaly, classify, compliance, history, joins, pump, serving
 from fieldwatch.sources import telemetry
+from fieldwatch.streaming import state, stores
 
 DELAY_MS = 10_000
 
@@ -27,6 +31,33 @@ def start(stream: DataFrame, table: str, checkpoint: str, mode: str = "append"):
     return writer.toTable(table)
 
 
+def start_sink(stream: DataFrame, sink: Callable[[DataFrame, int], None], checkpoint: str, mode: str = "append") -> StreamingQuery:
+    """A running query whose batches go to a foreachBatch function; it stops when all that was there at the start is done."""
+    return stream.writeStream.outputMode(mode).option("checkpointLocation", checkpoint).foreachBatch(sink).trigger(availableNow=True).start()
+
+
+def resume(stream: DataFrame, table: str, checkpoint: str) -> DataFrame:
+    """Goes on from a named table and checkpoint, or begins them: what earlier runs have done isn't done again, and open windows and joins are taken up where they were."""
+    start(stream, table, checkpoint).awaitTermination()
+    return stream.sparkSession.table(table)
+
+
+def supervise(queries: list[StreamingQuery], until_all: bool = True, poll_s: float = 1.0) -> None:
+    """Waits for queries of one session: for all of them to end, or for any. When one fails, the others are stopped and its failure is raised; none is left running on return."""
+    try:
+        while True:
+            over = [q for q in queries if not q.isActive]
+            for q in over:
+                q.awaitTermination()  # raises the query's failure
+            if len(over) == len(queries) or (over and not until_all):
+                return
+            next(q for q in queries if q.isActive).awaitTermination(poll_s)
+    finally:
+        for q in queries:
+            if q.isActive:
+                q.stop()
+
+
 def run(stream: DataFrame, name: str) -> DataFrame:
     """The rows that the stream yields, from a new table."""
     spark, table = stream.sparkSession, f"{name}_{uuid.uuid4().hex}"
@@ -73,3 +104,151 @@ def facility_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
 def pump_alarms(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = pump.pump_health(wells(spark, sf_dir)).filter(F.col("pump_alarm_level").isin("L4_SHUTDOWN", "L3_CRITICAL", "L2_WARNING"))
     return run(rows.select("well_id", "timestamp", "n", "pump_alarm_level", "failure_mode", "pump_health_index"), "alarms")
+
+
+def new_place(spark: SparkSession, name: str) -> str:
+    """A folder for a store and its checkpoint that nothing uses yet."""
+    return f"{checkpoint_root(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+HEALTH = "facility_id string, well_ts long, tank_ts long, well_id string, tank_id string, risk_score int, facility_status string, methane_zscore double, predictive_maintenance_score int, key string, expires_at long"
+HEALTH_KEY, HEALTH_ORDER = "facility_id", ["well_ts", "tank_ts", "well_id", "tank_id"]
+ALARM = (
+    "well_id string, ts long, n long, pump_alarm_level string, failure_mode string, pump_health_index double, rul string, rul_method string, flow_deviation_pct double, "
+    "pressure_deviation_pct double, temp_rise_f double, key string, expires_at long"
+)
+ALARM_KEY, ALARM_ORDER = "well_id", ["ts", "n"]
+LIFE = "well_batch string, well_id string, ts long, n long, rul_text string"
+KPI = "window_key string, window_start long, window_end long, well_id string, avg_methane double, max_methane double, min_methane double, reading_count long, version long"
+
+
+def serve_facilities(judged: DataFrame, place: str, every: int = 10) -> StreamingQuery:
+    """Keeps the newest anomalous reading of each facility from a stream of judged joined readings."""
+    sink = stores.sink(place, HEALTH, HEALTH_KEY, HEALTH_ORDER, "well_ts", serving.facility_health, every)
+    names = [c.split()[0] for c in HEALTH.split(", ")][:-2]
+    return start_sink(judged.select(*names, "is_anomaly"), sink, f"{place}/checkpoint")  # event times end here: a join takes one a side
+
+
+def facilities(spark: SparkSession, place: str) -> DataFrame:
+    return stores.current(spark, place, HEALTH, HEALTH_KEY, HEALTH_ORDER)
+
+
+EXTRA = "facility_id string, pump_alarm_level string, failure_mode string, pump_health_index double, rul_estimate string, flow_deviation_pct double, pressure_deviation_pct double, temp_rise_f double"
+
+
+def pump_history(wells: DataFrame, cap: int = history.CAP, idle_ms: int = history.IDLE_MS) -> DataFrame:
+    """The pump report of a stream of well readings with event_timestamp, final readings only, with each reading's history and trend."""
+    report = pump.pump_health(classify.well_metrics(wells)).withWatermark("event_timestamp", f"{DELAY_MS} milliseconds")
+    names = [c.split()[0] for c in EXTRA.split(", ")]
+    readings = report.select("well_id", "event_timestamp", F.col("timestamp").alias("ts"), "n", F.col("pump_health_index").alias("phi"), F.to_json(F.struct(*names)).alias("extra"))
+    rows = state.history_stream(readings, cap, idle_ms).withColumn("extra", F.from_json("extra", EXTRA))
+    return rows.select("well_id", "ts", "n", "phi", "n_history", "first_ts", "phi_sum", "slope", "intercept", "r2", "extra.*")
+
+
+def serve_pumps(reports: DataFrame, place: str, every: int = 10, batch_ms: int = 10_000) -> StreamingQuery:
+    """Keeps the newest alarm of each pump, and the newest remaining life of each pump and event-time batch, from a stream of pump_history.
+
+    Both come from one pass over a batch's rows; alarms get their life when they are read, because it may come with a later batch.
+    """
+    keep_alarms = stores.sink(f"{place}/alarms", ALARM, ALARM_KEY, ALARM_ORDER, "ts", lambda rows: serving.pump_alarms(rows.withColumns({"timestamp": F.col("ts"), "rul": F.col("rul_estimate"), "rul_method": F.lit("rule_based")}).drop("ts")), every)
+    well_batch = F.concat_ws("/", "well_id", F.floor(F.col("ts") / batch_ms).cast("string"))
+
+    def lives(rows: DataFrame) -> DataFrame:
+        told = history.remaining_life(rows.filter("failure_mode = 'BEARING_FAILURE_RISK'"), batch_ms)
+        return serving.latest(told.select(well_batch.alias("well_batch"), "well_id", "ts", "n", "rul_text"), "well_batch", ["ts", "n"])
+
+    keep_lives = stores.sink(f"{place}/lives", LIFE, "well_batch", ["ts", "n"], "ts", lives, every)
+
+    def keep(batch: DataFrame, batch_id: int) -> None:
+        rows = batch.persist()
+        keep_alarms(rows, batch_id)
+        keep_lives(rows, batch_id)
+        rows.unpersist()
+
+    return start_sink(reports, keep, f"{place}/checkpoint")
+
+
+def _with_life(spark: SparkSession, alarms: DataFrame, place: str, asked=None, batch_ms: int = 10_000) -> DataFrame:
+    lives = stores.current(spark, f"{place}/lives", LIFE, "well_batch", ["ts", "n"], asked).select("well_batch", "rul_text")
+    rows = alarms.withColumn("well_batch", F.concat_ws("/", "well_id", F.floor(F.col("ts") / batch_ms).cast("string"))).join(lives, "well_batch", "left")
+    return rows.withColumns({"rul": F.coalesce("rul_text", "rul"), "rul_method": F.when(F.col("rul_text").isNotNull(), "linear_regression").otherwise(F.col("rul_method"))}).drop("well_batch", "rul_text")
+
+
+def served_pumps(spark: SparkSession, place: str) -> DataFrame:
+    return _with_life(spark, stores.current(spark, f"{place}/alarms", ALARM, ALARM_KEY, ALARM_ORDER), place)
+
+
+def alarm_of(spark: SparkSession, place: str, well_id: str, as_of_ms: int) -> DataFrame:
+    """A pump's alarm if it hasn't expired, from the kept files of its bucket and dates."""
+    alarms = stores.lookup(spark, f"{place}/alarms", ALARM, ALARM_KEY, well_id, ALARM_ORDER, as_of_ms, serving.ALARM_TTL_MS)
+    recent = F.col("event_date") >= F.to_date(F.timestamp_millis(F.lit(as_of_ms - serving.ALARM_TTL_MS)))
+    return _with_life(spark, alarms, place, recent & (F.col("well_id") == well_id))
+
+
+def facility_health(spark: SparkSession, sf_dir: str) -> DataFrame:
+    place = new_place(spark, "facilities")
+    supervise([serve_facilities(anomaly.zscores_stream(joined(spark, sf_dir)), place)])
+    return facilities(spark, place)
+
+
+def phi_history(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return run(pump_history(wells(spark, sf_dir, "mixed")), "phi_history")
+
+
+def pump_alarm_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    place = new_place(spark, "pumps")
+    supervise([serve_pumps(pump_history(wells(spark, sf_dir, "mixed")), place)])
+    return served_pumps(spark, place)
+
+
+def both_served(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Keys and expiry of both stores, kept by two queries that run side by side in one session."""
+    one, two = new_place(spark, "facilities"), new_place(spark, "pumps")
+    supervise([serve_facilities(anomaly.zscores_stream(joined(spark, sf_dir)), one), serve_pumps(pump_history(wells(spark, sf_dir, "mixed")), two)])
+    return facilities(spark, one).select("key", "expires_at").unionByName(served_pumps(spark, two).select("key", "expires_at"))
+
+
+def kept_alarm(spark: SparkSession, sf_dir: str, well_id: str, as_of_ms: int) -> DataFrame:
+    place = new_place(spark, "pumps")
+    supervise([serve_pumps(pump_history(wells(spark, sf_dir, "mixed")), place)])
+    return alarm_of(spark, place, well_id, as_of_ms)
+
+
+def keep_changes(windows: DataFrame, place: str) -> StreamingQuery:
+    """Keeps every change of a stream's windows per well as a row with the version that made it: the batch id, so that a repeated batch repeats its versions."""
+    rows = windows.withColumn("window_key", F.concat_ws("/", "well_id", F.col("window_start").cast("string")))
+
+    def keep(batch: DataFrame, batch_id: int) -> None:
+        stores.upsert(batch.withColumn("version", F.lit(batch_id).cast("long")), batch_id, place, "window_start", "window_key")
+
+    return start_sink(rows, keep, f"{place}/checkpoint", "update")
+
+
+def changes(spark: SparkSession, place: str) -> DataFrame:
+    return stores.log(spark, place, KPI).drop("event_date", "bucket", "batch_id")
+
+
+def merged(spark: SparkSession, place: str) -> DataFrame:
+    """The newest version of each window."""
+    return stores.current(spark, place, KPI, "window_key", ["version"]).drop("window_key", "version")
+
+
+def kpi_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    place = new_place(spark, "changes")
+    supervise([keep_changes(compliance.tumbling_stream(wells(spark, sf_dir), ["well_id"], "5 seconds"), place)])
+    return merged(spark, place)
+
+
+def health_as_of(spark: SparkSession, sf_dir: str, curves: DataFrame) -> DataFrame:
+    rows = pump.judged(pump.with_curve_as_of(classify.active_pumps(classify.well_metrics(wells(spark, sf_dir))), curves))
+    return run(rows.select("well_id", "timestamp", "design_flow_bpd", "pump_health_index", "failure_mode", "pump_alarm_level"), "as_of")
+
+
+def anomaly_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """anomaly.anomaly_events on streams: anomalous readings, once each, meet the pump reports of their window."""
+    size, delay = f"{anomaly.BUCKET_MS} milliseconds", f"{DELAY_MS} milliseconds"
+    judged = anomaly.zscores_stream(joined(spark, sf_dir), window=size).filter("is_anomaly").select("w", "well_id", "well_ts", "methane_zscore")
+    once = judged.groupBy("w", "well_id", "well_ts").agg(F.max("methane_zscore").alias("methane_zscore"))
+    reports = pump.pump_health(classify.well_metrics(wells(spark, sf_dir))).withWatermark("event_timestamp", delay)
+    reports = reports.select(F.window("event_timestamp", size).alias("w"), "well_id", F.col("timestamp").alias("well_ts"), "facility_id", "methane_ppm", "emission_risk_level", "pump_health_index", "pump_alarm_level", "pressure_psi", "temp_rise_f", "flow_deviation_pct")
+    return run(once.join(reports, ["w", "well_id", "well_ts"]).drop("w"), "anomalies")
