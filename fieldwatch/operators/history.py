@@ -77,6 +77,13 @@ def history_length(readings: DataFrame, as_of_ms: int, cap: int = CAP, idle_ms:
     return latest.filter(as_of_ms - F.col("s.last_ts") < idle_ms).select("well_id", F.least(F.col("s.n"), F.lit(cap)).alias("history_length"))
 
 
+def parsed_entries(entries: DataFrame, entry: str = "entry") -> tuple[DataFrame, DataFrame]:
+    """Rows with phi and ts from their JSON entry, and those set aside: null, not JSON, or without a number as phi and a whole number as ts."""
+    rows = entries.withColumn("__e", F.from_json(entry, "phi double, ts bigint", {"mode": "PERMISSIVE"}))
+    whole = F.coalesce(F.col("__e.phi").isNotNull() & F.col("__e.ts").isNotNull(), F.lit(False))
+    return rows.filter(whole).select(*entries.columns, "__e.phi", "__e.ts"), rows.filter(~whole).drop("__e")
+
+
 def latest_history(readings: DataFrame, cap: int = CAP, idle_ms: int = IDLE_MS) -> DataFrame:
     """The newest reading of each well with its history; found by a grouped maximum, not a sort."""
     rows = with_history(readings, cap, idle_ms)
@@ -111,6 +118,20 @@ def rul_text() -> Column:
     )
 
 
+def fitted_entries(entries: DataFrame, cap: int = CAP) -> DataFrame:
+    """The line through the last ``cap`` readings that each key's entries (key, n, phi, ts) hold, however they are ordered: key, n_history, slope, intercept, r2.
+
+    The limit on the rank lets each task drop older entries before the shuffle, so a key's whole life isn't gathered.
+    """
+    newest = F.row_number().over(Window.partitionBy("key").orderBy(F.desc("ts"), F.desc("n")))
+    held = entries.withColumn("__k", newest).filter(F.col("__k") <= cap)
+    starts = held.groupBy("key").agg(F.min("ts").alias("first_ts"))
+    rows = held.join(starts, "key").withColumn("x", (F.col("ts") - F.col("first_ts")) / HOUR_MS)
+    still = (F.max("phi") == F.min("phi")) | (F.max("x") == F.min("x"))
+    fit = {"slope": (F.regr_slope("phi", "x"), F.lit(0.0)), "intercept": (F.regr_intercept("phi", "x"), F.avg("phi")), "r2": (F.regr_r2("phi", "x"), F.lit(None).cast("double"))}
+    return rows.groupBy("key").agg(F.count("*").alias("n_history"), *[F.when(still, flat).otherwise(line).alias(name) for name, (line, flat) in fit.items()])
+
+
 def rul_overlay(report: DataFrame, predictions: DataFrame, batch_ms: int = 10_000) -> DataFrame:
     """A pump report with rul and rul_method. A bearing fault's prediction (well_id, ts, rul_text) goes to all rows of its well and batch; the newest counts."""
     batch = F.floor(F.col("ts") / batch_ms)

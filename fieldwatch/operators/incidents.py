@@ -12,14 +12,63 @@ from fieldwatch.operators.classify import compliance_flag
 SEVERITY = [(1.0, "pump_alarm_level = 'L4_SHUTDOWN'"), (0.75, "pump_alarm_level = 'L3_CRITICAL'"), (0.5, "pump_alarm_level = 'L2_WARNING'"), (0.25, "pump_alarm_level = 'L1_ADVISORY'")]
 
 
-def incident_records(events: DataFrame) -> DataFrame:
-    """A record per anomaly event. Cause and life come from the rules; the component, free text elsewhere, stays null."""
+def incident_records(events: DataFrame, *more: str) -> DataFrame:
+    """A record per anomaly event, with more of its columns if named. Cause and life come from the rules; the component, free text elsewhere, stays null."""
     return events.select(
         "well_id", "facility_id", anomaly_type().alias("anomaly_type"), F.col("failure_mode").alias("root_cause"), F.lit(None).cast("string").alias("affected_component"),
-        F.col("recommended_action").alias("immediate_action"), first_match(SEVERITY, 0.0).alias("severity"), compliance_flag().alias("compliance_flag"), utc_text(F.col("well_ts")).alias("generated_at"),
+        F.col("recommended_action").alias("immediate_action"), first_match(SEVERITY, 0.0).alias("severity"), compliance_flag().alias("compliance_flag"), utc_text(F.col("well_ts")).alias("generated_at"), *more,
     )
 
 
+#: Stands for a component that no rule names.
+NO_COMPONENT = "null"
+
+
+def full_records(events: DataFrame, lives: DataFrame) -> DataFrame:
+    """incident_records with estimated_rul: the remaining life that the pump report (well_id, timestamp, rul) gave at the event's time."""
+    known = events.join(lives.select("well_id", F.col("timestamp").alias("well_ts"), F.col("rul").alias("estimated_rul")), ["well_id", "well_ts"])
+    return incident_records(known, "estimated_rul", "well_ts")
+
+
+def incident_texts(records: DataFrame) -> DataFrame:
+    """Records with the text under which an incident is kept, its eight fields, and the text's hash as id."""
+    fields = [("Well", F.col("well_id")), ("Facility", F.col("facility_id")), ("Type", F.col("anomaly_type")), ("Component", F.coalesce("affected_component", F.lit(NO_COMPONENT))), ("Cause", F.col("root_cause")), ("Action", F.col("immediate_action")), ("RUL", F.col("estimated_rul")), ("Severity", decimal_text(F.col("severity"), 2))]
+    text = F.concat_ws(" | ", *[F.concat(F.lit(f"{name}: "), F.coalesce(value, F.lit("null"))) for name, value in fields])
+    return records.withColumn("content", text).withColumn("id", F.sha2(F.concat_ws("@", "content", "generated_at"), 256))
+
+
+def _terms(texts: DataFrame, key: str, text: str, dims: int) -> DataFrame:
+    """(key, dim, tf): how often words of the text fall on each hashed dimension."""
+    words = F.explode(F.array_remove(F.split(F.lower(text), "[^a-z0-9_]+"), "")).alias("w")
+    return texts.select(key, words).groupBy(key, (F.conv(F.substring(F.md5("w"), 1, 5), 16, 10).cast("long") % dims).alias("dim")).agg(F.count("*").alias("tf"))
+
+
+def retrieve(questions: DataFrame, kept: DataFrame, k: int = 3, threshold: float = 0.0, dims: int = 1 << 20, parts: int = 16) -> DataFrame:
+    """(question, id, cosine, rank): the k kept incidents (id, content) most like each distinct question text, by the cosine of hashed TF-IDF vectors.
+
+    A dimension weighs tf times the logarithm of incidents over those that have it, as the kept incidents count it. Questions are texts of a few fields, so few differ; each meets the postings
+    of its dimensions, and dimensions of weight zero meet none. Each question's best are chosen in parts first. Ties go to the smaller id; cosines are compared at six places.
+    """
+    asked = questions.select("question").filter("question IS NOT NULL").distinct()
+    terms = _terms(kept, "id", "content", dims)
+    total = kept.agg(F.count("*").alias("total"))  # one row
+    weights = terms.groupBy("dim").agg(F.count("*").alias("df")).join(F.broadcast(total)).select("dim", F.ln(F.col("total") / F.col("df")).alias("idf")).filter("idf > 0")
+    weighed = terms.join(weights, "dim").withColumn("v", F.col("tf") * F.col("idf"))
+    norms = weighed.groupBy("id").agg(F.sqrt(F.sum(F.col("v") * F.col("v"))).alias("norm"))
+    q = _terms(asked, "question", "question", dims).join(weights, "dim").withColumn("q", F.col("tf") * F.col("idf")).select("question", "dim", "q")
+    q_norms = q.groupBy("question").agg(F.sqrt(F.sum(F.col("q") * F.col("q"))).alias("q_norm"))
+    dots = q.join(weighed.select("id", "dim", "v"), "dim").groupBy("question", "id").agg(F.sum(F.col("q") * F.col("v")).alias("dot"))
+    scored = dots.join(norms, "id").join(q_norms, "question").select("question", "id", F.round(F.col("dot") / (F.col("norm") * F.col("q_norm")), 6).alias("cosine")).filter(F.col("cosine") >= threshold)
+    rank = lambda *keys: F.row_number().over(Window.partitionBy(*keys).orderBy(F.desc("cosine"), "id"))
+    some = scored.withColumn("part", F.pmod(F.xxhash64("id"), F.lit(parts))).withColumn("rank", rank("question", "part")).filter(F.col("rank") <= k)
+    return some.withColumn("rank", rank("question")).filter(F.col("rank") <= k).select("question", "id", "cosine", "rank")
+
+
+def question_of() -> Column:
+    """What is asked for an incident record: its type, cause and action."""
+    return F.concat_ws(" ", "anomaly_type", "root_cause", "immediate_action")
+
+
 def incident_log(records: DataFrame) -> DataFrame:
     """The text and metadata under which an incident is kept."""
     parts = [("Well", "well_id"), ("Facility", "facility_id"), ("Type", "anomaly_type"), ("Cause", "root_cause"), ("Action", "immediate_action"), ("Compliance", "compliance_flag")]

@@ -146,6 +146,26 @@ wx AS (SELECT wc.*, coalesce(cv_flow, 175.0e0) AS design_flow_bpd, coalesce(cv_p
   FROM wc ASOF LEFT JOIN cv ON wc.well_id = cv.cv_well AND wc.timestamp >= cv.valid_from)"""
 
 
+#: The overlay's steps over the readings that anomalies have, and the incidents with their remaining life.
+FULL = f"""{EVENTS}{OVERLAY.replace(_pump("mixed"), "")}, fu AS (SELECT ty.well_id, ty.well_ts, ty.facility_id, anomaly_type, ty.failure_mode AS root_cause, ty.recommended_action AS immediate_action, o.rul AS estimated_rul, {_utc("ty.well_ts")} AS generated_at,
+  CASE ty.pump_alarm_level WHEN 'L4_SHUTDOWN' THEN 1.0e0 WHEN 'L3_CRITICAL' THEN 0.75e0 WHEN 'L2_WARNING' THEN 0.5e0 WHEN 'L1_ADVISORY' THEN 0.25e0 ELSE 0.0e0 END AS severity
+  FROM ty JOIN o ON o.well_id = ty.well_id AND o.timestamp = ty.well_ts),
+tx AS (SELECT *, 'Well: ' || well_id || ' | Facility: ' || facility_id || ' | Type: ' || anomaly_type || ' | Component: null | Cause: ' || root_cause || ' | Action: ' || immediate_action || ' | RUL: ' || estimated_rul || ' | Severity: ' || {_text("severity", 2)} AS content,
+  anomaly_type || ' ' || root_cause || ' ' || immediate_action AS question FROM fu),
+tid AS (SELECT *, sha256(content || '@' || generated_at) AS id FROM tx)"""
+
+
+def _dims(source: str, key: str, text: str) -> str:
+    return f"SELECT {key}, ('0x' || md5(w)[1:5])::BIGINT AS dim, count(*) AS tf FROM (SELECT {key}, unnest(regexp_split_to_array(lower({text}), '[^a-z0-9_]+')) AS w FROM {source}) WHERE w <> '' GROUP BY ALL"
+
+
+RETRIEVAL = f"""{FULL}, qs AS (SELECT DISTINCT question FROM tid), dt AS ({_dims("tid", "id", "content")}), qt AS ({_dims("qs", "question", "question")}),
+wt AS (SELECT dim, ln((SELECT count(*) FROM tid) / count(*)) AS idf FROM dt GROUP BY dim), dv AS (SELECT id, dim, tf * idf AS v FROM dt JOIN wt USING (dim)), qv AS (SELECT question, dim, tf * idf AS v FROM qt JOIN wt USING (dim)),
+cs AS (SELECT question, id, round(sum(q.v * d.v) / (any_value(qn.s) * any_value(dn.s)), 6) AS cosine FROM qv q JOIN dv d USING (dim) JOIN (SELECT question, sqrt(sum(v * v)) AS s FROM qv GROUP BY 1) qn USING (question)
+  JOIN (SELECT id, sqrt(sum(v * v)) AS s FROM dv GROUP BY 1) dn USING (id) WHERE q.v > 0 GROUP BY question, id),
+rk AS (SELECT *, row_number() OVER (PARTITION BY question ORDER BY cosine DESC, id)::INT AS rank FROM cs)"""
+
+
 SQL: dict[str, str] = {
     "well_classified": f"WITH {_wells()}, {WC} SELECT {WELL_LIST}, n, emission_risk_level, data_quality_score FROM wc",
     "tank_classified": f"WITH {EV}, {TANKS}, {TC} SELECT * FROM tc",
@@ -203,4 +223,10 @@ SQL: dict[str, str] = {
     "kept_alarm_lookup": f"WITH {OVERLAY_CLOSED} SELECT key, ts, pump_alarm_level, rul, rul_method, expires_at FROM al WHERE well_id = 'WELL-18' AND expires_at > (SELECT max(timestamp) FROM w)",
     "stream_pump_health_as_of": f"WITH {_pump('fast', 'design_flow_bpd', 'design_pressure_psi', 'design_temperature_f', DATED_CURVES)} SELECT well_id, timestamp, design_flow_bpd, round(pump_health_index, 4) AS pump_health_index, failure_mode, pump_alarm_level FROM a",
     "stream_anomaly_events": f"WITH {EVENTS} SELECT {EVENT_LIST} FROM e WHERE {CLOSED_EVENTS}",
+    "phi_trend_parsed": f"""WITH {HISTORY}, ls AS (SELECT *, row_number() OVER (PARTITION BY well_id ORDER BY ts DESC, n DESC) AS k FROM r), hx AS (SELECT *, (ts - min(ts) OVER (PARTITION BY well_id)) / 3600000.0e0 AS x FROM ls WHERE k <= 50)
+  SELECT 'pump:rul:bearing:' || well_id AS key, count(*) AS n_history, round(CASE WHEN max(phi) = min(phi) OR max(x) = min(x) THEN 0.0e0 ELSE regr_slope(phi, x) END, 4) AS slope,
+  round(CASE WHEN max(phi) = min(phi) OR max(x) = min(x) THEN avg(phi) ELSE regr_intercept(phi, x) END, 4) AS intercept, round(CASE WHEN max(phi) = min(phi) OR max(x) = min(x) THEN NULL ELSE regr_r2(phi, x) END, 4) AS r2 FROM hx GROUP BY well_id""",
+    "incident_texts": f"WITH {FULL} SELECT well_id, well_ts, estimated_rul, content, id, generated_at FROM tid",
+    "incident_retrieval": f"WITH {RETRIEVAL} SELECT well_id, well_ts, rank, rk.id, cosine FROM tid JOIN rk USING (question) WHERE rank <= 3",
+    "retained_windows": f"SELECT window_start, facility_id, reading_count FROM ({DAILY}) WHERE window_end > (SELECT max(epoch_us(ts) // 1000) FROM events) - 604800000",
 }

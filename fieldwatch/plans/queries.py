@@ -320,6 +320,39 @@ def stream_anomaly_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("well_id", "well_ts", "facility_id", "methane_zscore", "methane_ppm", "emission_risk_level", "pump_health_index", "pump_alarm_level", "pressure_psi", "temp_rise_f", "flow_deviation_pct")
 
 
+def phi_trend_parsed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The newest trend of each pump from its kept JSON entries, among which every 97th stands once more, cut off; those are set aside."""
+    entries = phi_history_entries(spark, sf_dir)
+    cut = entries.filter("n % 97 = 0").withColumn("entry", F.expr("substring(entry, 1, length(entry) - 3)"))
+    good, _ = history.parsed_entries(entries.unionByName(cut))
+    return _rounded(history.fitted_entries(good), "slope", "intercept", "r2", places=4)
+
+
+def _full_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    report = _report(spark, sf_dir)
+    readings = report.select("well_id", F.col("timestamp").alias("ts"), "n", F.col("pump_health_index").alias("phi"), "failure_mode")
+    lives = history.remaining_life(history.with_history(readings).filter("failure_mode = 'BEARING_FAILURE_RISK'"))
+    return incidents.full_records(_anomalies(spark, sf_dir), history.rul_overlay(report, lives))
+
+
+def incident_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return incidents.incident_texts(_full_records(spark, sf_dir)).select("well_id", "well_ts", "estimated_rul", "content", "id", "generated_at")
+
+
+def incident_retrieval(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Incidents are logged twice, as a repeated batch would, and every anomaly asks the log for the three most alike."""
+    rows = incidents.incident_texts(_full_records(spark, sf_dir)).withColumn("question", incidents.question_of())
+    kept = streams.logged_incidents(rows, repeats=2)
+    asked = kept.select("well_id", "well_ts", "question")
+    return asked.join(incidents.retrieve(asked, kept.select("id", "content")), "question").select("well_id", "well_ts", "rank", "id", "cosine")
+
+
+def retained_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Daily windows kept by date, of which those that ended a week before the newest reading are dropped as whole dates."""
+    now = _now(_wells(spark, sf_dir, "slow"))
+    return streams.retained_windows(facility_daily_emissions(spark, sf_dir), now, 7).select("window_start", "facility_id", "reading_count")
+
+
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
@@ -329,6 +362,6 @@ QUERIES: dict[str, Query] = {
         phi_history_sessions, phi_history_length, phi_history_entries, phi_trend, rul_prediction, rul_overlay, pump_alarm_latest, pump_alarm_payloads, alarm_lookup, anomaly_events,
         anomaly_types, compliance_flags, incident_records, incident_log, similar_incidents, similar_incidents_strict, stream_interval_join, stream_well_kpis, stream_ldar_hourly,
         stream_facility_daily, stream_pump_alarms, stream_methane_zscore, stream_facility_health_latest, stream_phi_history, stream_pump_alarm_latest, stream_kpi_changes, stream_served_keys,
-        kept_alarm_lookup, stream_pump_health_as_of, stream_anomaly_events,
+        kept_alarm_lookup, stream_pump_health_as_of, stream_anomaly_events, phi_trend_parsed, incident_texts, incident_retrieval, retained_windows,
     )
 }

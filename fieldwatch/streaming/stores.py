@@ -80,7 +80,7 @@ def compact(spark: SparkSession, path: str, schema: str, key: str, order: list[s
         return
     rows = log(spark, path, schema).filter(F.col("batch_id").between(before + 1, through)).drop("event_date", "bucket", "batch_id")
     if before >= 0:
-        rows = rows.unionByName(spark.read.schema(schema).parquet(f"{path}/latest/through={before}"))
+        rows = rows.unionByName(spark.read.schema(schema).parquet(f"{path}/latest/through={before}").drop("event_date", "bucket"))
     newest = latest(rows, key, order).withColumns({"event_date": F.to_date(F.timestamp_millis(time_column)), "bucket": bucket_of(F.col(key))})
     newest.repartition("bucket").write.mode("overwrite").partitionBy("event_date", "bucket").parquet(f"{path}/latest/through={through}")
     for name in children(spark, f"{path}/latest"):

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable
+from datetime import UTC, datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -252,3 +253,27 @@ def anomaly_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     reports = pump.pump_health(classify.well_metrics(wells(spark, sf_dir))).withWatermark("event_timestamp", delay)
     reports = reports.select(F.window("event_timestamp", size).alias("w"), "well_id", F.col("timestamp").alias("well_ts"), "facility_id", "methane_ppm", "emission_risk_level", "pump_health_index", "pump_alarm_level", "pressure_psi", "temp_rise_f", "flow_deviation_pct")
     return run(once.join(reports, ["w", "well_id", "well_ts"]).drop("w"), "anomalies")
+
+
+INCIDENT = "well_id string, well_ts long, question string, content string, id string"
+
+
+def logged_incidents(rows: DataFrame, repeats: int = 1) -> DataFrame:
+    """Incidents appended to a log, as often as said under one batch, and read back: each once."""
+    spark, place = rows.sparkSession, new_place(rows.sparkSession, "incidents")
+    for _ in range(repeats):
+        stores.upsert(rows.select("well_id", "well_ts", "question", "content", "id"), 0, place, "well_ts", "id")
+    return stores.current(spark, place, INCIDENT, "id", ["well_ts"])
+
+
+WINDOW = "window_start long, window_end long, facility_id string, avg_methane double, max_methane double, reading_count long, well_count long"
+
+
+def retained_windows(windows: DataFrame, as_of_ms: int, days: int) -> DataFrame:
+    """Daily windows kept by date; dates that ended so many days before as_of are dropped whole, and the rest is read by its partitions."""
+    spark, place = windows.sparkSession, new_place(windows.sparkSession, "windows")
+    names = [c.split()[0] for c in WINDOW.split(", ")]
+    stores.upsert(windows.select(*names), 0, place, "window_start", "facility_id")
+    first = datetime.fromtimestamp(as_of_ms / 1000 - days * 86_400, UTC).date()
+    stores.drop_before(spark, f"{place}/log", first.isoformat())
+    return stores.log(spark, place, WINDOW).filter(F.col("event_date") >= F.lit(first))
