@@ -132,6 +132,22 @@ def fitted_entries(entries: DataFrame, cap: int = CAP) -> DataFrame:
     return rows.groupBy("key").agg(F.count("*").alias("n_history"), *[F.when(still, flat).otherwise(line).alias(name) for name, (line, flat) in fit.items()])
 
 
+def overlaid_latest(alarms: DataFrame, readings: DataFrame, batch_ms: int = 10_000) -> DataFrame:
+    """rul_overlay for one alarm a well (well_id, ts, rul, rul_method): what the regression says of the newest bearing fault in the alarm's batch takes the rule's place.
+
+    readings (well_id, ts, n, phi, failure_mode) count only of the alarm's day and the days that can be in its history, so no more of a well's life is sorted; the text is made for the alarms alone.
+    """
+    day = lambda c: F.floor(F.col(c) / DAY_MS)
+    at = alarms.select("well_id", F.col("ts").alias("__at"))
+    near = readings.join(at, "well_id").filter(day("ts").between(day("__at") - carried_days(), day("__at")))
+    fits = with_history(near).filter((F.col("failure_mode") == "BEARING_FAILURE_RISK") & (F.floor(F.col("ts") / batch_ms) == F.floor(F.col("__at") / batch_ms)))
+    columns = ["n_history", "first_ts", "slope", "intercept", "r2"]
+    newest = fits.groupBy("well_id").agg(F.max(F.struct("ts", "n", *columns)).alias("f")).select("well_id", "f.ts", *[f"f.{c}" for c in columns])
+    texts = remaining_life(newest, batch_ms).select("well_id", F.col("rul_text").alias("__text"))
+    rows = alarms.join(texts, "well_id", "left")
+    return rows.withColumns({"rul": F.coalesce("__text", "rul"), "rul_method": F.when(F.col("__text").isNotNull(), "linear_regression").otherwise(F.col("rul_method"))}).drop("__text")
+
+
 def rul_overlay(report: DataFrame, predictions: DataFrame, batch_ms: int = 10_000) -> DataFrame:
     """A pump report with rul and rul_method. A bearing fault's prediction (well_id, ts, rul_text) goes to all rows of its well and batch; the newest counts."""
     batch = F.floor(F.col("ts") / batch_ms)

@@ -11,10 +11,15 @@ HEALTH_TTL_MS, ALARM_TTL_MS = 300_000, 600_000
 ALARM_LEVELS = ("L4_SHUTDOWN", "L3_CRITICAL", "L2_WARNING")
 
 
-def latest(rows: DataFrame, key: str, order: list[str]) -> DataFrame:
-    """The last row of each key in the given order, by a grouped maximum that is combined before the shuffle."""
+def latest(rows: DataFrame, key: str, order: list[str], where: Column | None = None) -> DataFrame:
+    """The last row of each key in the given order, by a grouped maximum that is combined before the shuffle.
+
+    where leaves out rows within the maximum: a filter in front would be pushed down through the rules that made its column, and repeat them until no code is generated for the stage.
+    """
     rest = [c for c in rows.columns if c != key and c not in order]
-    return rows.groupBy(key).agg(F.max(F.struct(*order, *rest)).alias("r")).select(key, *[F.col(f"r.{c}").alias(c) for c in (*order, *rest)])
+    row = F.struct(*order, *rest)
+    newest = rows.groupBy(key).agg(F.max(row if where is None else F.when(where, row)).alias("r"))
+    return (newest if where is None else newest.filter("r IS NOT NULL")).select(key, *[F.col(f"r.{c}").alias(c) for c in (*order, *rest)])
 
 
 def facility_health(judged: DataFrame) -> DataFrame:
@@ -26,10 +31,10 @@ def facility_health(judged: DataFrame) -> DataFrame:
 
 def pump_alarms(report: DataFrame) -> DataFrame:
     """The newest alarm of each pump, its key and when it expires. Lesser levels never replace an alarm."""
-    rows = report.filter(F.col("pump_alarm_level").isin(*ALARM_LEVELS)).select(
+    rows = report.select(
         "well_id", F.col("timestamp").alias("ts"), "n", "pump_alarm_level", "failure_mode", "pump_health_index", "rul", "rul_method", "flow_deviation_pct", "pressure_deviation_pct", "temp_rise_f"
     )
-    newest = latest(rows, "well_id", ["ts", "n"])
+    newest = latest(rows, "well_id", ["ts", "n"], F.col("pump_alarm_level").isin(*ALARM_LEVELS))
     return newest.withColumns({"key": F.concat(F.lit("pump:"), "well_id", F.lit(":alarm")), "expires_at": F.col("ts") + ALARM_TTL_MS})
 
 

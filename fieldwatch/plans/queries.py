@@ -202,13 +202,19 @@ def rul_overlay(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _overlaid(spark, sf_dir).select("well_id", "timestamp", "pump_alarm_level", "rul", "rul_method")
 
 
+def _latest_alarms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The newest alarm of each well first, then the history of its days only."""
+    report = _report(spark, sf_dir, "mixed").withColumns({"rul": F.col("rul_estimate"), "rul_method": F.lit("rule_based")})
+    return history.overlaid_latest(serving.pump_alarms(report), _readings(spark, sf_dir))
+
+
 def pump_alarm_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = serving.pump_alarms(_overlaid(spark, sf_dir))
+    rows = _latest_alarms(spark, sf_dir)
     return _rounded(rows, "pump_health_index", "flow_deviation_pct", "pressure_deviation_pct", "temp_rise_f", places=4)
 
 
 def pump_alarm_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return serving.pump_alarms(_overlaid(spark, sf_dir)).select("key", serving.alarm_payload().alias("payload"))
+    return _latest_alarms(spark, sf_dir).select("key", serving.alarm_payload().alias("payload"))
 
 
 def alarm_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -118,3 +118,13 @@ def test_similar_incidents_are_exact_for_any_number_of_cells(spark):
     for cells in (1, 8, 64):
         got = incidents.similar_incidents(vectors.filter("vec_id % 8 = 0 AND vec_id < 900"), vectors, cells=cells)
         assert sorted((r.query_id, r.vec_id, r["rank"]) for r in got.collect()) == sorted(want)
+
+
+def test_the_latest_alarms_need_no_fallback_from_generated_code(spark, sf_dir):
+    from fieldwatch.plans.queries import QUERIES
+
+    spark.conf.set("spark.sql.codegen.fallback", "false")  # a stage too large to compile fails
+    try:
+        assert QUERIES["pump_alarm_latest"](spark, sf_dir).count() == 20
+    finally:
+        spark.conf.unset("spark.sql.codegen.fallback")
