@@ -1,6 +1,6 @@
 """Collocations of each language by dynamic itemset counting.
 
-The texts are dealt into shards that are scanned in turn, round and round. Words are counted from the first scan on. After every scan,
+The texts are dealt into shards by their hash, which are scanned in turn, round and round; docs must be a table that reads the same each time. Words are counted from the first scan on. After every scan,
 phrases that have reached the threshold are noted, and a longer phrase is counted from the scan after the one in which the later of its two
 subphrases (all but its last word, all but its first) was noted; lengths are thus counted side by side. A phrase is counted through one full
 round, so its count is exact, whenever it began; the scans end when no phrase is open. A phrase that is as frequent as the threshold
@@ -25,6 +25,7 @@ from collections.abc import Iterator
 from functools import reduce
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import xxhash
 import zstandard
@@ -88,7 +89,6 @@ def _counted(docs: list[tuple[str, np.ndarray, list[bytes]]], step: int, shards:
     lengths = np.array([len(x) for _, x, _ in docs])
     ends = np.cumsum(lengths)
     begins = ends - lengths
-    _, first, ids, n = np.unique(h, return_index=True, return_inverse=True, return_counts=True)
     word = h != BREAK
 
     def rows(at: np.ndarray, length: int, start: np.ndarray, counts: np.ndarray) -> Iterator[pa.RecordBatch]:
@@ -104,22 +104,25 @@ def _counted(docs: list[tuple[str, np.ndarray, list[bytes]]], step: int, shards:
             yield pa.RecordBatch.from_arrays([langs, words, *keys, *numbers], names=["lang", "word", *(f"h{n + 1}" for n in range(longest)), "length", "start", "n"])
 
     if step < shards:
-        kept = word[first]
-        yield from rows(first[kept], 1, np.zeros(int(kept.sum())), n[kept])
-    at, ids = np.flatnonzero(word), ids.astype(np.int64)
+        codes, found = pd.factorize(h)
+        highest = np.maximum.accumulate(codes)
+        first = np.flatnonzero(np.r_[True, highest[1:] > highest[:-1]])  # codes count up in order of appearance
+        kept = found != BREAK
+        yield from rows(first[kept], 1, np.zeros(int(kept.sum())), np.bincount(codes)[kept])
+    at = np.flatnonzero(word)
     for length in range(2, longest + 1):
         at = at[at + length - 1 < len(h)]
         at = at[word[at + length - 1]]
         table, parts = noted[length - 2], [h[at + k] for k in range(length)]
         later = np.maximum(table[_cells(parts[:-1], bits)], table[_cells(parts[1:], bits)]).astype(np.int32)
         open_ = (later < step) & (step <= later + shards)
-        at_open, begun = at[open_], later[open_] + 1
-        key = ids[at_open]
-        for k in range(1, length):  # keys stay below 2 ** 63: each is made dense before the next word joins
-            dense = key if k == 1 else np.unique(key, return_inverse=True)[1].astype(np.int64)
-            key = (dense << 32) | ids[at_open + k]
-        _, first, counts = np.unique(key, return_index=True, return_counts=True)
-        yield from rows(at_open[first], length, begun[first], counts)
+        here, begun = at[open_], later[open_] + 1
+        if len(here):
+            key = pd.factorize(h[here])[0]
+            for k in range(1, length):  # keys stay below 2 ** 63: each is made dense before the next word joins
+                key = ((key if k == 1 else pd.factorize(key)[0]) << 32) | pd.factorize(h[here + k])[0]
+            _, first, counts = np.unique(key, return_index=True, return_counts=True)
+            yield from rows(here[first], length, begun[first], counts)
 
 
 def _scan(texts: DataFrame, step: int, shards: int, longest: int, noted: list[np.ndarray], bits: int, seed: int, flush: int) -> DataFrame:
@@ -166,15 +169,14 @@ def phrase_counts(docs: DataFrame, longest: int = 3, least: int = 10, shards: in
     total as a row of length 0."""
     spark = docs.sparkSession
     home, keys = new_path(spark, "collocations"), [f"h{k + 1}" for k in range(longest)]
-    texts = docs.select(F.coalesce("lang", F.lit("und")).alias("lang"), F.col("text").cast("binary").alias("text"), F.pmod(F.monotonically_increasing_id(), F.lit(shards)).cast("int").alias("shard"))
-    texts.write.partitionBy("shard").parquet(f"{home}/texts")
-    read = spark.read.schema("lang string, text binary, shard int").parquet(f"{home}/texts")
+    texts = docs.select(F.coalesce("lang", F.lit("und")).alias("lang"), F.col("text").cast("binary").alias("text"))
+    shard = F.pmod(F.xxhash64("text"), F.lit(shards))
     noted = [np.full(1 << cell_bits, NEVER, np.uint8) for _ in range(longest - 1)]
     finals, open_rows, last_start, step = [], None, 0, 0
     while step < last_start + shards:
         if step == NEVER:
             raise ValueError("too many scans: take fewer shards or shorter phrases")
-        found = _scan(read.filter(F.col("shard") == step % shards).select("lang", "text"), step, shards, longest, noted, cell_bits, seed, flush)
+        found = _scan(texts.filter(shard == step % shards), step, shards, longest, noted, cell_bits, seed, flush)
         if open_rows is not None:
             found = found.unionByName(open_rows.select(*found.columns))
         sums = found.groupBy("lang", "word", *keys, "length", "start").agg(F.sum("n").alias("n"))
@@ -196,7 +198,6 @@ def phrase_counts(docs: DataFrame, longest: int = 3, least: int = 10, shards: in
             _remove(spark, f"{home}/scan-{step - 1}/open=true")
         finals.append(rows.filter("NOT open"))
         open_rows, step = rows.filter("open"), step + 1
-    _remove(spark, f"{home}/texts")
     every = reduce(DataFrame.unionByName, finals).select(F.coalesce("lang", F.lit("")).alias("lang"), "word", *keys, "length", "n")
     totals = every.filter("length = 1").groupBy("lang").agg(F.sum("n").alias("n"))
     empty = {k: F.lit(0).cast("long") for k in keys} | {"word": F.lit(None).cast("binary"), "length": F.lit(0)}
