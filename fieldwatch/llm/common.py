@@ -38,11 +38,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share (``spark.checkpoint.dir``); where the session names none, as in tests, a fresh local one is set."""
+    """The folder that driver and executors share (``spark.checkpoint.dir``). Where the session names none, one in the warehouse is set, or on a local master, as in tests, a fresh local one."""
     found = spark.conf.get("spark.checkpoint.dir", None)
     if not found:
         current = spark.sparkContext.getCheckpointDir()
-        found = current or tempfile.mkdtemp(prefix="fieldwatch-")
+        alone = spark.sparkContext.master.split("[")[0] == "local"
+        found = current or (tempfile.mkdtemp(prefix="fieldwatch-") if alone else f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/shared-{uuid.uuid4().hex}")
         if not current:
             spark.sparkContext.setCheckpointDir(found)
     return found

@@ -12,44 +12,99 @@ their upper bits and so are distinct; the rows of one partition come from one ta
 
 from __future__ import annotations
 
+import unicodedata
 import zlib
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 SCHEMA = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
+#: Documents whose unknown words are encoded together.
+TOGETHER = 256
 NAMES = [field.split()[0] for field in SCHEMA.split(", ")]
 
 Piece = tuple[int | None, int, bytes, int]
 """doc_id, the document's ids before it, ids, the document's ids."""
 
 
+#: ASCII punctuation that the tokenizer splits from a letter or number before it, but for what special tokens are written with.
+TAIL = bytes(c for c in range(33, 127) if not chr(c).isalnum() and chr(c) not in "<>|")
+LETTER = regex.compile(r"[\p{L}\p{N}]")
+
+
+def _splits(core: bytes) -> bool:
+    """Whether a word without its punctuation at the end is split from it: its last letter or number must stay a single one when it is normalised."""
+    if core[-1] < 128:
+        return core[-1:].isalnum()
+    last = unicodedata.normalize("NFC", core.decode()[-1]).lower()
+    return len(last) == 1 and bool(LETTER.fullmatch(last))
+
+
 class WordIds(dict):
-    """word -> its ids as little-endian 32-bit integers, remembering a bounded number of words.
+    """word -> its ids as little-endian 32-bit integers, remembering the words of up to two generations of LIMIT.
 
-    The tokenizer drops white space and never joins across it, so a text's ids are those of its words in turn.
+    The tokenizer drops white space and never joins across it, so a text's ids are those of its words in turn. Words that aren't known are encoded together, without their punctuation
+    at the end, which is encoded apart. Capitals are ASCII lower case first, as the tokenizer would have it, unless the text has combining marks, with which small letters may join where capitals don't,
+    or what may be a special token.
     """
 
-    LIMIT = 200_000
+    LIMIT = 600_000
 
     def __init__(self, path: str) -> None:
         from tokenizers import Tokenizer
 
-        self.tokenizer = Tokenizer.from_file(path)
+        self.tokenizer, self.older = Tokenizer.from_file(path), {}
+
+    def _encode(self, words: set[bytes]) -> None:
+        new = list(words)
+        found = [e.ids for e in self.tokenizer.encode_batch_fast([w.decode() for w in new], add_special_tokens=False)]
+        flat = np.fromiter(chain.from_iterable(found), "<u4").tobytes()
+        start = 0
+        for word, ids in zip(new, found, strict=True):
+            self[word] = flat[start : (start := start + 4 * len(ids))]
+
+    def _learn(self, words: set[bytes]) -> None:
+        older, tailed, new = self.older, [], set()
+        for word in words:
+            if known := older.get(word):
+                self[word] = known
+            elif (core := word.rstrip(TAIL)) and len(core) < len(word) and _splits(core):
+                tailed.append((word, core, word[len(core) :]))
+            else:
+                new.add(word)
+        new.update(part for _, *parts in tailed for part in parts if part not in self)
+        self._encode(new)
+        for word, core, tail in tailed:
+            self[word] = self[core] + self[tail]
+
+    def ids(self, texts: list[str | None]) -> list[bytes]:
+        """The ids of each text."""
+        if len(self) > self.LIMIT:
+            self.older = dict(self)
+            self.clear()
+        words = []
+        for text in texts:
+            data = (text or "").encode()
+            words.append((data if b"\xcc" in data or b"\xcd" in data or b"<|" in data else data.lower()).split())
+        if missing := set().union(*words) - self.keys():
+            self._learn(missing)
+        return [b"".join(map(self.__getitem__, w)) for w in words]
+
+
+_made: dict[str, WordIds] = {}
 
-    def __missing__(self, word: bytes) -> bytes:
-        ids = self.tokenizer.encode(word.decode("utf-8"), add_special_tokens=False).ids
-        found = np.asarray(ids, "<u4").tobytes()
-        if len(self) < self.LIMIT:
-            self[word] = found
-        return found
 
-    def ids(self, text: str | None) -> bytes:
-        return b"".join(map(self.__getitem__, (text or "").encode().split()))
+def word_ids(path: str) -> WordIds:
+    """One a Python worker, so that tasks share what it remembers."""
+    if path not in _made:
+        _made[path] = WordIds(path)
+    return _made[path]
 
 
 class Packer:
@@ -130,7 +185,7 @@ def pack(docs: DataFrame, tokenizer: str, size: int = 2048, end_id: int = 1, max
     end = np.asarray([end_id], "<u4").tobytes()
 
     def packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words, packer = WordIds(tokenizer), Packer(size, TaskContext.get().partitionId() << 40, max_open)
+        words, packer = word_ids(tokenizer), Packer(size, TaskContext.get().partitionId() << 40, max_open)
         types = [pa.int64()] * len(NAMES)
 
         def batch_of(rows: list[tuple]) -> pa.RecordBatch:
@@ -138,8 +193,10 @@ def pack(docs: DataFrame, tokenizer: str, size: int = 2048, end_id: int = 1, max
 
         rows: list[tuple] = []
         for batch in batches:
-            for doc_id, text in zip(batch.column(0), batch.column(1), strict=True):
-                rows += packer.add(doc_id.as_py(), words.ids(text.as_py()) + end)
+            for k in range(0, batch.num_rows, TOGETHER):
+                some = batch.slice(k, TOGETHER)
+                for doc_id, ids in zip(some.column(0), words.ids(some.column(1).to_pylist()), strict=True):
+                    rows += packer.add(doc_id.as_py(), ids + end)
                 if len(rows) >= 10_000:
                     yield batch_of(rows)
                     rows = []
