@@ -47,7 +47,7 @@ PARTS = 32
 class Hashes(dict):
     """word -> 64-bit hash, remembering a bounded number of words."""
 
-    LIMIT = 200_000
+    LIMIT = 400_000
 
     def __init__(self, seed: int) -> None:
         super().__init__({b"\n": BREAK})
@@ -109,15 +109,17 @@ def _counted(docs: list[tuple[str, np.ndarray, list[bytes]]], step: int, shards:
         first = np.flatnonzero(np.r_[True, highest[1:] > highest[:-1]])  # codes count up in order of appearance
         kept = found != BREAK
         yield from rows(first[kept], 1, np.zeros(int(kept.sum())), np.bincount(codes)[kept])
-    at = np.flatnonzero(word)
+    inside = word
     for length in range(2, longest + 1):
-        at = at[at + length - 1 < len(h)]
-        at = at[word[at + length - 1]]
-        table, parts = noted[length - 2], [h[at + k] for k in range(length)]
-        later = np.maximum(table[_cells(parts[:-1], bits)], table[_cells(parts[1:], bits)]).astype(np.int32)
-        open_ = (later < step) & (step <= later + shards)
-        here, begun = at[open_], later[open_] + 1
+        n = len(h) - length + 1
+        if n < 1:
+            break
+        inside = inside[:n] & word[length - 1 :]  # no piece ends within
+        noted_at = noted[length - 2][_cells([h[k : n + 1 + k] for k in range(length - 1)], bits)]  # of each shorter phrase, one more than n
+        later = np.maximum(noted_at[:-1], noted_at[1:])
+        here = np.flatnonzero(inside & (later < step) & (later >= max(0, step - shards)))
         if len(here):
+            begun = later[here].astype(np.int32) + 1
             key = pd.factorize(h[here])[0]
             for k in range(1, length):  # keys stay below 2 ** 63: each is made dense before the next word joins
                 key = ((key if k == 1 else pd.factorize(key)[0]) << 32) | pd.factorize(h[here + k])[0]
@@ -125,13 +127,23 @@ def _counted(docs: list[tuple[str, np.ndarray, list[bytes]]], step: int, shards:
             yield from rows(here[first], length, begun[first], counts)
 
 
+_made: dict[int, Hashes] = {}
+
+
+def _hashes(seed: int) -> Hashes:
+    """One a Python worker, so that tasks share what it remembers."""
+    if seed not in _made:
+        _made[seed] = Hashes(seed)
+    return _made[seed]
+
+
 def _scan(texts: DataFrame, step: int, shards: int, longest: int, noted: list[np.ndarray], bits: int, seed: int, flush: int) -> DataFrame:
     """Sums of one scan, a row for each open phrase and task at least."""
     shared = texts.sparkSession.sparkContext.broadcast([zstandard.compress(table.data, 1) for table in noted])
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tables = [np.frombuffer(zstandard.decompress(x), np.uint8) for x in shared.value]
-        hashes, held, size = Hashes(seed), [], 0
+        hashes, held, size = _hashes(seed), [], 0
         for batch in batches:
             for lang, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
                 words = tokens(text.as_py() or b"")
