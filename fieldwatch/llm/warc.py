@@ -119,6 +119,10 @@ def read_frame(bundle: str, frame: int) -> bytes:
         return zstandard.ZstdDecompressor().decompress(file.read_at(packed, at), max_output_size=plain)
 
 
+#: Frames of about a megabyte that one task reads back.
+FRAMES_A_TASK = 8
+
+
 def parse(data: bytes) -> tuple[dict[str, str], dict[str, str], bytes]:
     """WARC fields, HTTP fields and payload of one record."""
     fields = lambda part: dict(line.split(": ", 1) for line in part.decode().split("\r\n")[1:])
@@ -185,9 +189,11 @@ def write(pages: DataFrame, folder: str, frame_bytes: int = 1 << 20, bundle_byte
 def read(index: DataFrame) -> DataFrame:
     """The records that index names, from their bundles: page_id, payload size and digest, type, what a revisit refers to, and url.
 
-    index may be any part of a written index; only the frames it touches are read. A response's payload is checked against its digest.
+    index may be any part of a written index; only the frames it touches are read, FRAMES_A_TASK of them by a task: the index is small, and its size says nothing of the archives'.
+    A response's payload is checked against its digest.
     """
-    frames = index.groupBy("bundle", "frame").agg(F.collect_list(F.struct("page_id", "offset", "length")).alias("records"))
+    touched = index.agg(F.count_distinct("bundle", "frame")).first()[0]
+    frames = index.repartition(max(1, -(-touched // FRAMES_A_TASK)), "bundle", "frame").groupBy("bundle", "frame").agg(F.collect_list(F.struct("page_id", "offset", "length")).alias("records"))
 
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
