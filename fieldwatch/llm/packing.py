@@ -12,10 +12,10 @@ their upper bits and so are distinct; the rows of one partition come from one ta
 
 from __future__ import annotations
 
+import os
 import unicodedata
 import zlib
 from collections.abc import Iterator
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -57,17 +57,28 @@ class WordIds(dict):
     LIMIT = 600_000
 
     def __init__(self, path: str) -> None:
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # each core has a task of its own
         from tokenizers import Tokenizer
 
         self.tokenizer, self.older = Tokenizer.from_file(path), {}
+        vocabulary = self.tokenizer.get_vocab()
+        self.ends_word = np.zeros(max(vocabulary.values(), default=0) + 1, bool)
+        self.ends_word[[k for token, k in vocabulary.items() if token.endswith("</w>")]] = True
 
     def _encode(self, words: set[bytes]) -> None:
-        new = list(words)
-        found = [e.ids for e in self.tokenizer.encode_batch_fast([w.decode() for w in new], add_special_tokens=False)]
-        flat = np.fromiter(chain.from_iterable(found), "<u4").tobytes()
-        start = 0
-        for word, ids in zip(new, found, strict=True):
-            self[word] = flat[start : (start := start + 4 * len(ids))]
+        """Words of letters alone are encoded as one text, of which each gives one run of ids up to one that ends a word; the others, or all if the runs aren't as many, each apart."""
+        apart, joined = [], []
+        for word in words:
+            (joined if word.decode().isalpha() else apart).append(word)
+        ids = np.asarray(self.tokenizer.encode(b" ".join(joined).decode(), add_special_tokens=False).ids, "<u4")
+        ends = (4 * (np.flatnonzero(self.ends_word[ids]) + 1)).tolist()
+        if len(ends) == len(joined):
+            flat = ids.tobytes()
+            self.update(zip(joined, map(flat.__getitem__, map(slice, [0, *ends], ends)), strict=True))
+        else:
+            apart += joined
+        for word, found in zip(apart, self.tokenizer.encode_batch_fast([w.decode() for w in apart], add_special_tokens=False), strict=True):
+            self[word] = np.asarray(found.ids, "<u4").tobytes()
 
     def _learn(self, words: set[bytes]) -> None:
         older, tailed, new = self.older, [], set()
