@@ -71,13 +71,11 @@ def question_of() -> Column:
 
 def incident_log(records: DataFrame) -> DataFrame:
     """The text and metadata under which an incident is kept."""
-    parts = [("Well", "well_id"), ("Facility", "facility_id"), ("Type", "anomaly_type"), ("Cause", "root_cause"), ("Action", "immediate_action"), ("Compliance", "compliance_flag")]
-    text = F.concat_ws("; ", *[F.concat(F.lit(f"{name}: "), F.col(c)) for name, c in parts], F.concat(F.lit("Severity: "), decimal_text(F.col("severity"), 2)))
     metadata = F.create_map(
         *[x for name, c in (("wellId", "well_id"), ("facilityId", "facility_id"), ("anomalyType", "anomaly_type"), ("timestamp", "generated_at")) for x in (F.lit(name), F.col(c))],
         F.lit("severity"), decimal_text(F.col("severity"), 2),
     )
-    return records.select(F.sha2(text, 256).alias("id"), text.alias("content"), metadata.alias("metadata"), "generated_at")
+    return incident_texts(records).select("id", "content", metadata.alias("metadata"), "generated_at")
 
 
 def similar_incidents(queries: DataFrame, corpus: DataFrame, k: int = 3, threshold: float = 0.70, cells: int = 16, salts: int = 4) -> DataFrame:

@@ -116,10 +116,7 @@ EVENTS = f"""{_joined()}, {Z}, {_pump().split(WC + ", ", 1)[1]}, en AS (SELECT w
 e AS (SELECT a.*, en.well_ts, en.methane_zscore FROM en JOIN a ON en.well_id = a.well_id AND en.well_ts = a.timestamp),
 ty AS (SELECT *, CASE WHEN flow_deviation_pct < -15 AND (pressure_psi - 300) / 300 * 100 > 20 THEN 'SCALE_WAX_BUILDUP' WHEN temp_rise_f > 30 THEN 'BEARING_DEGRADATION'
   WHEN temp_rise_f > 25 AND flow_deviation_pct BETWEEN -10 AND 5 AND (pressure_psi - 300) / 300 * 100 BETWEEN -10 AND 10 THEN 'SEAL_FAILURE' WHEN methane_ppm > 400 AND flow_deviation_pct < -10 THEN 'GAS_INTERFERENCE_CAVITATION'
-  WHEN methane_zscore > 3.5e0 OR methane_ppm > 500 THEN 'EMISSION_EXCEEDANCE' WHEN flow_deviation_pct < -20 AND (pressure_psi - 300) / 300 * 100 < -15 THEN 'MECHANICAL_FAILURE' ELSE 'NORMAL_VARIANCE' END AS anomaly_type FROM e),
-inc AS (SELECT well_id, facility_id, anomaly_type, failure_mode AS root_cause, NULL::VARCHAR AS affected_component, recommended_action AS immediate_action,
-  CASE pump_alarm_level WHEN 'L4_SHUTDOWN' THEN 1.0e0 WHEN 'L3_CRITICAL' THEN 0.75e0 WHEN 'L2_WARNING' THEN 0.5e0 WHEN 'L1_ADVISORY' THEN 0.25e0 ELSE 0.0e0 END AS severity,
-  CASE WHEN methane_ppm > 500 THEN 'REGULATORY_ACTION_REQUIRED' ELSE 'COMPLIANT' END AS compliance_flag, {_utc("well_ts")} AS generated_at FROM ty)"""
+  WHEN methane_zscore > 3.5e0 OR methane_ppm > 500 THEN 'EMISSION_EXCEEDANCE' WHEN flow_deviation_pct < -20 AND (pressure_psi - 300) / 300 * 100 < -15 THEN 'MECHANICAL_FAILURE' ELSE 'NORMAL_VARIANCE' END AS anomaly_type FROM e)"""
 WELL_LIST = "well_id, facility_id, timestamp, methane_ppm, co2_ppm, pressure_psi, temperature_f, flow_rate_bpd, vibration_encoded, pump_status, maintenance_alert"
 JOINED_LIST = "well_id, facility_id, well_ts, methane_ppm, co2_ppm, emission_risk_level, well_data_quality, tank_id, tank_ts, level_percentage, vapor_concentration_ppm, vapor_risk_level, tank_data_quality, correlation_score, facility_status, risk_score"
 HEALTH_LIST = "facility_id, well_ts, tank_ts, well_id, tank_id, risk_score, facility_status, round(methane_zscore, 6) AS methane_zscore, predictive_maintenance_score, 'facility:' || facility_id || ':health' AS key, well_ts + 300000 AS expires_at"
@@ -147,7 +144,8 @@ wx AS (SELECT wc.*, coalesce(cv_flow, 175.0e0) AS design_flow_bpd, coalesce(cv_p
 
 
 #: The overlay's steps over the readings that anomalies have, and the incidents with their remaining life.
-FULL = f"""{EVENTS}{OVERLAY.replace(_pump("mixed"), "")}, fu AS (SELECT ty.well_id, ty.well_ts, ty.facility_id, anomaly_type, ty.failure_mode AS root_cause, ty.recommended_action AS immediate_action, o.rul AS estimated_rul, {_utc("ty.well_ts")} AS generated_at,
+FULL = f"""{EVENTS}{OVERLAY.replace(_pump("mixed"), "")}, fu AS (SELECT ty.well_id, ty.well_ts, ty.facility_id, anomaly_type, ty.failure_mode AS root_cause, NULL::VARCHAR AS affected_component,
+  CASE WHEN ty.methane_ppm > 500 THEN 'REGULATORY_ACTION_REQUIRED' ELSE 'COMPLIANT' END AS compliance_flag, ty.recommended_action AS immediate_action, o.rul AS estimated_rul, {_utc("ty.well_ts")} AS generated_at,
   CASE ty.pump_alarm_level WHEN 'L4_SHUTDOWN' THEN 1.0e0 WHEN 'L3_CRITICAL' THEN 0.75e0 WHEN 'L2_WARNING' THEN 0.5e0 WHEN 'L1_ADVISORY' THEN 0.25e0 ELSE 0.0e0 END AS severity
   FROM ty JOIN o ON o.well_id = ty.well_id AND o.timestamp = ty.well_ts),
 tx AS (SELECT *, 'Well: ' || well_id || ' | Facility: ' || facility_id || ' | Type: ' || anomaly_type || ' | Component: null | Cause: ' || root_cause || ' | Action: ' || immediate_action || ' | RUL: ' || estimated_rul || ' | Severity: ' || {_text("severity", 2)} AS content,
@@ -205,8 +203,8 @@ SQL: dict[str, str] = {
     "anomaly_events": f"WITH {EVENTS} SELECT well_id, well_ts, facility_id, round(methane_zscore, 4) AS methane_zscore, methane_ppm, emission_risk_level, round(pump_health_index, 4) AS pump_health_index, pump_alarm_level, pressure_psi, round(temp_rise_f, 4) AS temp_rise_f, round(flow_deviation_pct, 4) AS flow_deviation_pct FROM e",
     "anomaly_types": f"WITH {EVENTS} SELECT well_id, well_ts, anomaly_type FROM ty",
     "compliance_flags": f"WITH {_wells()} SELECT well_id, timestamp, CASE WHEN methane_ppm > 500 THEN 'REGULATORY_ACTION_REQUIRED' ELSE 'COMPLIANT' END AS compliance_flag, {_utc('timestamp')} AS stamped_at FROM w",
-    "incident_records": f"WITH {EVENTS} SELECT * FROM inc",
-    "incident_log": f"""WITH {EVENTS}, x AS (SELECT 'Well: ' || well_id || '; Facility: ' || facility_id || '; Type: ' || anomaly_type || '; Cause: ' || root_cause || '; Action: ' || immediate_action || '; Compliance: ' || compliance_flag || '; Severity: ' || {_text('severity', 2)} AS content, {_text('severity', 2)} AS severity, generated_at AS stamped_at FROM inc) SELECT sha256(content) AS id, content, severity, stamped_at FROM x""",
+    "incident_records": f"WITH {FULL} SELECT * EXCLUDE (well_ts) FROM fu",
+    "incident_log": f"WITH {FULL} SELECT id, content, {_text('severity', 2)} AS severity, generated_at AS stamped_at FROM tid",
     "similar_incidents": _similar(0.35),
     "similar_incidents_strict": _similar(0.70),
     "stream_interval_join": f"WITH {_joined()} SELECT {JOINED_LIST} FROM j",

@@ -239,11 +239,11 @@ def compliance_flags(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def incident_records(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return incidents.incident_records(_anomalies(spark, sf_dir))
+    return _full_records(spark, sf_dir).drop("well_ts")
 
 
 def incident_log(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = incidents.incident_log(incident_records(spark, sf_dir))
+    rows = incidents.incident_log(_full_records(spark, sf_dir))
     return rows.select("id", "content", F.col("metadata")["severity"].alias("severity"), F.col("metadata")["timestamp"].alias("stamped_at"))
 
 
