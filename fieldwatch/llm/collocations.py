@@ -29,6 +29,7 @@ import pandas as pd
 import pyarrow as pa
 import xxhash
 import zstandard
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -137,8 +138,8 @@ def _hashes(seed: int) -> Hashes:
     return _made[seed]
 
 
-def _scan(texts: DataFrame, step: int, shards: int, longest: int, noted: list[np.ndarray], bits: int, seed: int, flush: int) -> DataFrame:
-    """Sums of one scan, a row for each open phrase and task at least."""
+def _scan(texts: DataFrame, step: int, shards: int, longest: int, noted: list[np.ndarray], bits: int, seed: int, flush: int) -> tuple[DataFrame, Broadcast]:
+    """Sums of one scan, a row for each open phrase and task at least, and the broadcast that it needs."""
     shared = texts.sparkSession.sparkContext.broadcast([zstandard.compress(table.data, 1) for table in noted])
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -157,7 +158,7 @@ def _scan(texts: DataFrame, step: int, shards: int, longest: int, noted: list[np
         yield from _counted(held, step, shards, longest, tables, bits)
 
     keys = "".join(f"h{k + 1} long, " for k in range(longest))
-    return texts.mapInArrow(count, f"lang string, word binary, {keys}length int, start int, n long")
+    return texts.mapInArrow(count, f"lang string, word binary, {keys}length int, start int, n long"), shared
 
 
 def _remove(spark: SparkSession, path: str) -> None:
@@ -188,7 +189,7 @@ def phrase_counts(docs: DataFrame, longest: int = 3, least: int = 10, shards: in
     while step < last_start + shards:
         if step == NEVER:
             raise ValueError("too many scans: take fewer shards or shorter phrases")
-        found = _scan(texts.filter(shard == step % shards), step, shards, longest, noted, cell_bits, seed, flush)
+        found, shared = _scan(texts.filter(shard == step % shards), step, shards, longest, noted, cell_bits, seed, flush)
         if open_rows is not None:
             found = found.unionByName(open_rows.select(*found.columns))
         sums = found.groupBy("lang", "word", *keys, "length", "start").agg(F.sum("n").alias("n"))
@@ -196,6 +197,7 @@ def phrase_counts(docs: DataFrame, longest: int = 3, least: int = 10, shards: in
         over = (ends == step) & (F.col("n") < least) & (F.col("length") > 1)
         sums.filter(~over).withColumn("open", ends > step).write.partitionBy("open").parquet(path)
         rows = spark.read.schema(f"lang string, word binary, {''.join(f'{k} long, ' for k in keys)}length int, start int, n long, open boolean").parquet(path)
+        shared.destroy()  # the scan is written
         if step == shards - 1 and not rows.filter("length = 1 AND NOT open").groupBy("h1").count().filter("count > 1").isEmpty():
             _remove(spark, home)
             if seed == 7:
@@ -210,10 +212,13 @@ def phrase_counts(docs: DataFrame, longest: int = 3, least: int = 10, shards: in
             _remove(spark, f"{home}/scan-{step - 1}/open=true")
         finals.append(rows.filter("NOT open"))
         open_rows, step = rows.filter("open"), step + 1
-    every = reduce(DataFrame.unionByName, finals).select(F.coalesce("lang", F.lit("")).alias("lang"), "word", *keys, "length", "n")
-    totals = every.filter("length = 1").groupBy("lang").agg(F.sum("n").alias("n"))
-    empty = {k: F.lit(0).cast("long") for k in keys} | {"word": F.lit(None).cast("binary"), "length": F.lit(0)}
-    return every.filter(F.col("n") >= least).unionByName(totals.withColumns(empty))
+    every = reduce(DataFrame.unionByName, finals).select(F.coalesce("lang", F.lit("")).alias("lang"), "word", *keys, "n", "length")
+    totals = every.filter("length = 1").groupBy("lang").agg(F.sum("n").alias("n")).withColumns({k: F.lit(0).cast("long") for k in keys} | {"word": F.lit(None).cast("binary"), "length": F.lit(0)})
+    # one table instead of a union of all scans, because what follows reads it many times
+    every.filter(F.col("n") >= least).unionByName(totals).write.partitionBy("length").parquet(f"{home}/counts")
+    for done in range(step):
+        _remove(spark, f"{home}/scan-{done}")
+    return spark.read.schema(f"lang string, word binary, {''.join(f'{k} long, ' for k in keys)}n long, length int").parquet(f"{home}/counts")
 
 
 def _score(left: str, right: str) -> str:
