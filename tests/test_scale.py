@@ -37,3 +37,11 @@ def test_statistics_go_to_readings_before_their_pairs(spark):
     assert show(again) == show(plain) and len(show(plain)) > 300
     last = lambda df: next(r for r in plan(df.select(*names, "methane_zscore")).split("\n") if "SortMergeJoin" in r)
     assert "__bucket" in last(again) and "__bucket" not in last(plain)
+
+
+def test_streams_join_by_time_bucket(spark):
+    event = lambda df: df.withColumn("event_timestamp", F.timestamp_millis("timestamp"))
+    w, t = sides(spark, [("A", T0), ("A", T0 + 239_999), ("A", -1)], [("A", T0 + 60_000), ("A", T0 - 60_000), ("A", T0 + 60_001), ("A", T0 + 299_999), ("A", 59_999), ("A", -60_001), ("A", -60_002), ("B", T0)])
+    joined = joins.interval_join_stream(event(w), event(t))
+    assert sorted((r.well_id, r.tank_id) for r in joined.collect()) == [("W0", "T0"), ("W0", "T1"), ("W1", "T3"), ("W2", "T4"), ("W2", "T5")]
+    assert "__bucket" in joined._jdf.queryExecution().optimizedPlan().toString() and "__bucket" not in joined.columns
