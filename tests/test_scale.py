@@ -1,10 +1,13 @@
 """Steps whose cost must grow with the input only: how they are planned, and that their results stay those of the plain form."""
 
+import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
 from fieldwatch.operators import anomaly, joins
 from fieldwatch.plans.queries import QUERIES
+from fieldwatch.streaming import state
 from test_operators import T0, sides
 
 
@@ -45,3 +48,34 @@ def test_streams_join_by_time_bucket(spark):
     joined = joins.interval_join_stream(event(w), event(t))
     assert sorted((r.well_id, r.tank_id) for r in joined.collect()) == [("W0", "T0"), ("W0", "T1"), ("W1", "T3"), ("W2", "T4"), ("W2", "T5")]
     assert "__bucket" in joined._jdf.queryExecution().optimizedPlan().toString() and "__bucket" not in joined.columns
+
+
+def test_frames_are_made_in_parts(monkeypatch):
+    """Their arrays hold cap values a reading, so a batch's readings of a well can't all be framed at once."""
+    rng = np.random.default_rng(3)
+    ts = T0 + np.cumsum(rng.choice([1_000, 60_000, 3_600_000], 1000, p=[0.5, 0.47, 0.03]))
+    phi = np.repeat(rng.integers(8, 100, 250), 4).astype(float)
+    whole, sizes, plain = state.frames(ts, phi, 50, 3_600_000), [], state.frames
+    monkeypatch.setattr(state, "frames", lambda t, *rest: sizes.append(len(t)) or plain(t, *rest))
+    for first, last, part in ((0, 1000, 64), (49, 1000, 7), (30, 700, 300), (10, 10, 64)):
+        parts = list(state.sliced_frames(ts, phi, first, last, 50, 3_600_000, part))
+        assert [k for b, e, _ in parts for k in range(b, e)] == list(range(first, last))
+        for b, e, found in parts:
+            for name, values in found.items():
+                np.testing.assert_allclose(values, whole[name][b:e], rtol=1e-6, atol=1e-6)
+    assert max(sizes) <= 300 + 49
+
+
+def test_held_texts_keep_their_nulls():
+    rows = pd.DataFrame({"ts": [2, 1], "n": [1, 2], "phi": [1.0, 2.0], "extra": ["a", None], "well_id": "W"})
+    assert state.texts(state.packed(rows)) == ["a", None]
+    assert list(state.packed(rows).columns) == state.HELD
+
+
+def test_held_readings_as_bytes_come_back_the_same():
+    rows = state.packed(pd.DataFrame({"ts": range(9000), "n": range(9000), "phi": np.arange(9000) / 3, "extra": [None, *(f'{{"a":{k}}}' for k in range(8999))]}))
+    kept = state.to_bytes(rows)
+    pd.testing.assert_frame_equal(state.from_bytes(kept), rows)
+    assert len(kept) < 9000 * 24
+    empty = state.packed(rows.iloc[:0])
+    assert len(state.from_bytes(state.to_bytes(empty))) == 0
