@@ -50,6 +50,19 @@ def test_streams_join_by_time_bucket(spark):
     assert "__bucket" in joined._jdf.queryExecution().optimizedPlan().toString() and "__bucket" not in joined.columns
 
 
+def test_stream_statistics_go_to_readings_before_their_pairs(spark):
+    """Pairs aren't held until their window closes; the readings at a window's ends and a tolerance away are still met."""
+    event = lambda df: df.withColumn("event_timestamp", F.timestamp_millis("timestamp"))
+    w, t = sides(spark, [("AB"[k % 2], T0 + 625 * k) for k in range(200)], [("AB"[k % 2], T0 + 20_000 * k + d) for k in range(10) for d in (0, -1)])
+    w, t = event(w.withColumn("methane_ppm", F.xxhash64("well_id") % 1000 / 10.0)), event(t)
+    joined = joins.interval_join_stream(w, t)
+    again = anomaly.zscores_stream(joined, wells=w, join=lambda rows: joins.interval_join_stream(rows, t, window="5 seconds"))
+    names = ["well_id", "tank_id", "well_ts", "tank_ts", "risk_score", "predictive_maintenance_score", "is_anomaly"]
+    show = lambda df: sorted(map(tuple, df.select(*names, F.round("methane_zscore", 9)).collect()))
+    assert show(again) == show(anomaly.zscores_stream(joined)) and len(show(again)) > 300
+    assert next(r for r in plan(again).split("\n") if "Join" in r).count("__bucket") >= 1
+
+
 def test_frames_are_made_in_parts(monkeypatch):
     """Their arrays hold cap values a reading, so a batch's readings of a well can't all be framed at once."""
     rng = np.random.default_rng(3)
