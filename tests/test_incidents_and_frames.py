@@ -88,3 +88,17 @@ def test_the_curve_that_was_valid_at_a_reading(spark):
     wells = spark.createDataFrame([("W", t) for t in (99, 100, 199, 200, 10**12)] + [("X", 150), (None, 150)], "well_id string, timestamp bigint")
     got = {(r.well_id, r.timestamp): r.design_flow_bpd for r in pump.with_curve_as_of(wells, curves).collect()}
     assert got == {("W", 99): 175.0, ("W", 100): 10.0, ("W", 199): 10.0, ("W", 200): 20.0, ("W", 10**12): 20.0, ("X", 150): 175.0, (None, 150): 175.0}
+
+
+def test_retrieval_of_copies_makes_no_row_for_each_question_and_incident(spark):
+    """Equal texts, an id that comes twice, and no ids; the plan holds no join of questions' words with incidents' words."""
+    texts = ["pump seal worn", "gas in pump", "gas lift", "seal heat heat", "rod"]
+    kept = [(f"i{k:03}", texts[k * k % 5]) for k in range(200)]
+    asked = ["seal heat", "gas pump", "rod", "nothing"]
+    frame = spark.createDataFrame([*kept, ("x", None)], "id string, content string")
+    ask = spark.createDataFrame([(q,) for q in asked], "question string")
+    got = incidents.retrieve(ask, frame, k=3)
+    assert sorted((r.question, r.id, r.cosine, r["rank"]) for r in got.collect()) == plain_retrieval(asked, [*kept, ("x", "")], 3)
+    assert "FlatMapGroupsInPandas" in got._jdf.queryExecution().executedPlan().toString()
+    twice = incidents.retrieve(ask, spark.createDataFrame([("a", "seal"), ("a", "heat"), ("b", "seal rod"), ("c", "gas"), (None, "rod")], "id string, content string"))
+    assert [(r.id, r["rank"]) for r in twice.filter("question = 'seal heat'").orderBy("rank").collect()] == [("a", 1), ("b", 2)]

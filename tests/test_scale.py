@@ -5,7 +5,7 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
-from fieldwatch.operators import anomaly, joins
+from fieldwatch.operators import anomaly, incidents, joins, nearest
 from fieldwatch.plans.queries import QUERIES
 from fieldwatch.streaming import state
 from test_operators import T0, sides
@@ -92,3 +92,23 @@ def test_held_readings_as_bytes_come_back_the_same():
     assert len(kept) < 9000 * 24
     empty = state.packed(rows.iloc[:0])
     assert len(state.from_bytes(state.to_bytes(empty))) == 0
+
+
+def test_vectors_are_compared_by_blocks_not_pair_by_pair(spark, monkeypatch):
+    """Copies tie by id in every block, an id may come twice, and small blocks give the same as one."""
+    rng = np.random.default_rng(5)
+    base = rng.normal(size=(60, 8)).astype("float32")
+    rows = [(k, [float(x) for x in base[k % 60]]) for k in range(300)]
+    vectors = spark.createDataFrame([*rows, (7, rows[9][1]), (None, rows[20][1]), (400, None), (401, [0.0] * 8), (402, [1.0] * 3), (420, [1.0, 1.0, 1.0])], "vec_id bigint, embedding array<float>")
+    unit = lambda v: np.array(v, "float32").astype(float) / np.sqrt((np.array(v, "float32").astype(float) ** 2).sum())
+    units, want = [(k, unit(v)) for k, v in [*rows, (7, rows[9][1])]], []
+    for q, a in units:
+        if q % 20 == 0:
+            near = sorted((-round(float(a @ b), 9), d) for d, b in units if d != q and a @ b >= 0.35)[:3]
+            want += [(q, d, r) for r, (_, d) in enumerate(near, 1)]
+    for size in (nearest.DATA_BLOCK, 16):
+        monkeypatch.setattr(nearest, "DATA_BLOCK", size)
+        monkeypatch.setattr(nearest, "QUERY_BLOCK", size)
+        got = incidents.similar_incidents(vectors.filter("vec_id % 20 = 0"), vectors, threshold=0.35)
+        assert sorted((r.query_id, r.vec_id, r["rank"]) for r in got.collect()) == sorted([*want, (420, 402, 1)])
+    assert "FlatMapGroupsInPandas" in plan(got)
