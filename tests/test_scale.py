@@ -20,6 +20,33 @@ def test_readings_are_not_broadcast_for_their_files_weight(spark, sf_dir, name):
     assert "BroadcastExchange" not in plan(QUERIES[name](spark, sf_dir))
 
 
+def events_table(spark, place):
+    """Events every second over some minutes; every tenth comes twice and some lack their user."""
+    rows = [(k, None if k % 97 == 0 else k * 7 % 300) for k in range(900) for _ in range(1 + (k % 10 == 0))]
+    events = spark.createDataFrame(rows, "event_id bigint, user_id bigint")
+    events.selectExpr("event_id", "timestamp_seconds(1704067200 + event_id) AS ts", "user_id", "'view' AS event_type", "1.0D AS value", "'{}' AS props").coalesce(2).write.parquet(f"{place}/events.parquet")
+    return str(place)
+
+
+AFTER_THE_JOIN = ["facility_payloads"]
+
+
+@pytest.mark.parametrize("name", AFTER_THE_JOIN)
+def test_no_broadcast_is_chosen_at_run_time(spark, tmp_path, name):
+    """Adaptive execution may turn a join of small shuffled sides into a broadcast; here every join must stay one of shuffled sides."""
+    done = QUERIES[name](spark, events_table(spark, tmp_path))
+    assert done.count() == len(done.collect()) > 0
+    assert "isFinalPlan=true" in plan(done) and "SortMergeJoin" in plan(done) and "Broadcast" not in plan(done)
+
+
+@pytest.mark.parametrize("name", AFTER_THE_JOIN)
+def test_pairs_of_readings_are_not_shuffled(spark, tmp_path, name):
+    """What an exchange gets from the interval join has been combined before."""
+    nodes = plan(QUERIES[name](spark, events_table(spark, tmp_path))).split("\n")
+    below = [next(n for n in nodes[k + 1 :] if "Aggregate(" in n or "Join [" in n or "FileScan" in n) for k, n in enumerate(nodes) if " Exchange hashpartitioning" in n]
+    assert len(below) >= 5 and not [n for n in below if "Join [" in n and "__bucket" in n]
+
+
 def test_readings_are_not_repeated_for_each_split(spark):
     """A reading's interval touches one bucket or two."""
     w, t = sides(spark, [("A", T0 + 7_001 * k) for k in range(200)], [("A", T0 + 5_003 * k) for k in range(300)])
