@@ -28,7 +28,7 @@ def events_table(spark, place):
     return str(place)
 
 
-AFTER_THE_JOIN = ["facility_payloads"]
+AFTER_THE_JOIN = ["facility_payloads", "health_lookup"]
 
 
 @pytest.mark.parametrize("name", AFTER_THE_JOIN)
