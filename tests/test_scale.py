@@ -28,7 +28,7 @@ def events_table(spark, place):
     return str(place)
 
 
-AFTER_THE_JOIN = ["facility_payloads", "health_lookup"]
+AFTER_THE_JOIN = ["facility_payloads", "health_lookup", "maintenance_band"]
 
 
 @pytest.mark.parametrize("name", AFTER_THE_JOIN)
