@@ -28,7 +28,7 @@ def events_table(spark, place):
     return str(place)
 
 
-AFTER_THE_JOIN = ["facility_payloads", "health_lookup", "maintenance_band"]
+AFTER_THE_JOIN = ["facility_payloads", "health_lookup", "maintenance_band", "methane_zscore"]
 
 
 @pytest.mark.parametrize("name", AFTER_THE_JOIN)
