@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from fieldwatch.operators import anomaly, incidents, joins, nearest
 from fieldwatch.plans.queries import QUERIES
-from fieldwatch.streaming import state
+from fieldwatch.streaming import state, streams
 from test_operators import T0, sides
 
 
@@ -47,6 +47,13 @@ def test_pairs_of_readings_are_not_shuffled(spark, tmp_path, name):
     assert len(below) >= 5 and not [n for n in below if "Join [" in n and "__bucket" in n]
 
 
+def test_the_joined_stream_has_the_bucket_in_its_key(spark, tmp_path):
+    """Else a reading looks at all readings that its facility has in a batch."""
+    joined = streams.joined(spark, events_table(spark, tmp_path))
+    keys = next(r for r in joined._jdf.queryExecution().analyzed().toString().split("\n") if "Join Inner" in r)
+    assert joined.isStreaming and "facility_id" in keys and "__bucket" in keys and "__tank_bucket" in keys
+
+
 def test_readings_are_not_repeated_for_each_split(spark):
     """A reading's interval touches one bucket or two."""
     w, t = sides(spark, [("A", T0 + 7_001 * k) for k in range(200)], [("A", T0 + 5_003 * k) for k in range(300)])
