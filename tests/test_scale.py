@@ -39,7 +39,7 @@ def test_no_broadcast_is_chosen_at_run_time(spark, tmp_path, name):
     assert "isFinalPlan=true" in plan(done) and "SortMergeJoin" in plan(done) and "Broadcast" not in plan(done)
 
 
-@pytest.mark.parametrize("name", [*AFTER_THE_JOIN, "incident_records", "incident_log"])
+@pytest.mark.parametrize("name", [*AFTER_THE_JOIN, "incident_records", "incident_log", "incident_texts"])
 def test_pairs_of_readings_are_not_shuffled(spark, tmp_path, name):
     """What an exchange gets from the interval join has been combined before."""
     nodes = plan(QUERIES[name](spark, events_table(spark, tmp_path))).split("\n")
