@@ -48,8 +48,9 @@ def test_many_batches_yield_the_rows_of_the_sql(spark, table, monkeypatch, name)
 
 def test_a_replays_files_are_ranges_of_time_in_the_order_they_are_taken(spark, table, monkeypatch):
     monkeypatch.setattr(streams, "FILE_ROWS", 100)
-    stream = streams.replay(spark, table, "well")
-    assert stream.isStreaming and "maxFilesPerTrigger" in stream._jdf.queryExecution().logical().toString()
+    before, stream = checkpoints(spark), streams.replay(spark, table, "well")
+    assert stream.isStreaming and streams.run(stream, "replayed").count() == 990
+    assert [committed(c) for c in checkpoints(spark) - before] == [3]
     place = max((p for p in Path(streams.checkpoint_root(spark)).glob("replay-*")), key=lambda p: p.stat().st_mtime)
     files = sorted(place.glob("*.parquet"), key=lambda p: p.stat().st_mtime)
     spans = [tuple(x) for x in (spark.read.parquet(str(p)).selectExpr("min(event_id)", "max(event_id)", "count(*)").first() for p in files)]
@@ -62,7 +63,9 @@ def test_a_replays_files_are_ranges_of_time_in_the_order_they_are_taken(spark, t
 def test_without_ages_all_files_are_one_batch(spark, table, monkeypatch):
     monkeypatch.setattr(streams, "FILE_ROWS", 100)
     monkeypatch.setattr(stores, "aged_by_name", lambda *_: False)
-    assert "maxFilesPerTrigger" not in streams.replay(spark, table, "tank")._jdf.queryExecution().logical().toString()
+    before = checkpoints(spark)
+    assert streams.run(streams.replay(spark, table, "tank"), "at_once").count() == 990
+    assert [committed(c) for c in checkpoints(spark) - before] == [1]
 
 
 def test_state_is_spread_by_cores_and_settings_come_back(spark, table):
